@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Series:
-    """One labelled series: a fact counted through one dimension."""
+    """A fact counted through one dimension: one series, or one per value of a label column."""
 
-    label: str
+    label: str | Column
     fact: DataFrame
     dim: DataFrame
     key: str
@@ -29,20 +29,18 @@ def series_counts(series: Sequence[Series], by: Mapping[str, str | Column]) -> D
     names = list(by)
     counted = []
     for s in series:
-        per_key = s.fact.groupBy(s.key).agg(F.count("*").alias("event_count"))
+        label = F.lit(s.label) if isinstance(s.label, str) else s.label
+        per_key = s.fact.groupBy(s.key, label.alias("series")).agg(F.count("*").alias("event_count"))
         attributes = s.dim.select(s.key, *_named(by))
         counted.append(
             per_key.join(attributes, s.key)
-            .groupBy(*names)
+            .groupBy(*names, "series")
             .agg(F.sum("event_count").alias("event_count"))
-            .select(*names, F.lit(s.label).alias("series"), "event_count")
         )
-    return (
-        reduce(DataFrame.unionByName, counted)
-        .groupBy(*names, "series")
-        .agg(F.sum("event_count").alias("event_count"))
-        .orderBy(*names, "series")
-    )
+    merged = reduce(DataFrame.unionByName, counted)
+    if len(counted) > 1:
+        merged = merged.groupBy(*names, "series").agg(F.sum("event_count").alias("event_count"))
+    return merged.orderBy(*names, "series")
 
 
 def share_within(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -27,11 +26,10 @@ from curbstar.operators.dims import conformed_dim, date_dim_from, distinct_dim,
 from curbstar.operators.lookup import Lookup, build_fact, lookup_role
 from curbstar.operators.project import require, strict_project
 from curbstar.operators.quality import NotNull, Unique
+from curbstar.plans.base import Plan
 from curbstar.sources.schemas import SEATING_APPLICATIONS
 from curbstar.sources.store import Store
 
-STAGING, MARTS = "nyc_transit_restaurants_staging", "nyc_transit_restaurants_marts"
-
 # Derived columns in output order, by raw column: text copies, exact numbers.
 REQUEST_TEXTS = ["agency", "agency_name", "complaint_type", "descriptor"]
 REQUEST_PLACES = ["incident_address", "street_name", "cross_street_1", "cross_street_2"]
@@ -277,27 +275,39 @@ def fact_restaurant_applications(
     )
 
 
-@dataclass
-class Applications:
-    """The pipeline; every table is built on first use and written once."""
-
-    raw_requests: DataFrame
-    raw_applications: DataFrame
-    store: Store
-    as_of: date | None = None
-
-    def __post_init__(self):
-        self._built: dict[str, DataFrame] = {}
-
-    def table(self, name: str) -> DataFrame:
-        if name not in self._built:
-            staged = name.startswith("stg_") or name == "test_311_sample"
-            layer = STAGING if staged else MARTS
-            self._built[name] = self.store.table(layer, name, self.plan(name))
-        return self._built[name]
+class Applications(Plan):
+    """The whole pipeline on two raw extracts; ``as_of`` fixes the day the request window ends."""
+
+    tables = [
+        "stg_nyc_311_dot",
+        "stg_nyc_open_restaurant_apps",
+        "test_311_sample",
+        "dim_date_assignment",
+        "dim_location_assignment",
+        "dim_complaint_type",
+        "dim_restaurant",
+        "dim_seating_type",
+        "fact_311_dot_requests",
+        "fact_restaurant_applications",
+    ]
+
+    def __init__(
+        self,
+        raw_requests: DataFrame,
+        raw_applications: DataFrame,
+        store: Store,
+        as_of: date | None = None,
+    ):
+        super().__init__(store)
+        self.raw_requests = raw_requests
+        self.raw_applications = raw_applications
+        self.as_of = as_of
+
+    def layer(self, name: str) -> str:
+        staged = name.startswith("stg_") or name == "test_311_sample"
+        return "nyc_transit_restaurants_staging" if staged else "nyc_transit_restaurants_marts"
 
     def plan(self, name: str) -> DataFrame:
-        """The table as a plan over its written inputs, itself not written."""
         t = self.table
         requests, applications = "stg_nyc_311_dot", "stg_nyc_open_restaurant_apps"
         match name:
@@ -327,23 +337,6 @@ class Applications:
                 )
         raise KeyError(name)
 
-    def build(self) -> dict[str, DataFrame]:
-        """Build and write all tables."""
-        return {name: self.table(name) for name in TABLES}
-
-
-TABLES = [
-    "stg_nyc_311_dot",
-    "stg_nyc_open_restaurant_apps",
-    "test_311_sample",
-    "dim_date_assignment",
-    "dim_location_assignment",
-    "dim_complaint_type",
-    "dim_restaurant",
-    "dim_seating_type",
-    "fact_311_dot_requests",
-    "fact_restaurant_applications",
-]
 
 # Checks on the raw extracts. Raw extracts hold republished records, which staging removes, so a
 # failing "unique" here is a warning.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +21,13 @@ from curbstar.operators.lookup import Lookup, build_fact, natural
 from curbstar.operators.project import require, safe_project
 from curbstar.operators.quality import Accepted, NotNull, Related, Unique
 from curbstar.operators.reports import Series, series_counts, share_within, total
+from curbstar.plans.base import Plan
 from curbstar.sources.store import Store
 
 LOCATION = ["borough", "zip_code", "neighborhood", "council_district"]
 PROBLEM = ["agency", "complaint_type", "problem_detail"]
 VIOLATION_TYPE = ["violation_category", "violation_status"]
 
-STAGING, MARTS = "staging", "marts_core"
-
 
 def stg_311(raw: DataFrame) -> DataFrame:
     """Typed, curb-related complaints, the latest version of each."""
@@ -176,25 +173,31 @@ def fact_ace_violations(
     )
 
 
-@dataclass
-class Enforcement:
-    """The pipeline; every table is built on first use and written once."""
+class Enforcement(Plan):
+    """The whole pipeline on two raw extracts."""
 
-    raw_complaints: DataFrame
-    raw_violations: DataFrame
-    store: Store
+    tables = [
+        "stg_311",
+        "stg_ace",
+        "dim_date",
+        "dim_location",
+        "dim_311_problem",
+        "dim_ace_violation_type",
+        "dim_bus_route",
+        "dim_bus_stop",
+        "fact_311_complaints",
+        "fact_ace_violations",
+    ]
 
-    def __post_init__(self):
-        self._built: dict[str, DataFrame] = {}
+    def __init__(self, raw_complaints: DataFrame, raw_violations: DataFrame, store: Store):
+        super().__init__(store)
+        self.raw_complaints = raw_complaints
+        self.raw_violations = raw_violations
 
-    def table(self, name: str) -> DataFrame:
-        if name not in self._built:
-            layer = STAGING if name.startswith("stg_") else MARTS
-            self._built[name] = self.store.table(layer, name, self.plan(name))
-        return self._built[name]
+    def layer(self, name: str) -> str:
+        return "staging" if name.startswith("stg_") else "marts_core"
 
     def plan(self, name: str) -> DataFrame:
-        """The table as a plan over its written inputs, itself not written."""
         t, store = self.table, self.store
         match name:
             case "stg_311":
@@ -225,10 +228,6 @@ class Enforcement:
                 )
         raise KeyError(name)
 
-    def build(self) -> dict[str, DataFrame]:
-        """Build and write all tables."""
-        return {name: self.table(name) for name in TABLES}
-
     def series(self, dim: str, key: str) -> list[Series]:
         return [
             Series(fv.CAMERA_SERIES, self.table("fact_ace_violations"), self.table(dim), key),
@@ -272,20 +271,6 @@ class Enforcement:
         return total(self.table("fact_311_complaints"), "total_311_complaints")
 
 
-TABLES = [
-    "stg_311",
-    "stg_ace",
-    "dim_date",
-    "dim_location",
-    "dim_311_problem",
-    "dim_ace_violation_type",
-    "dim_bus_route",
-    "dim_bus_stop",
-    "fact_311_complaints",
-    "fact_ace_violations",
-]
-
-
 def _key(table: str, column: str) -> list[NotNull | Unique]:
     return [NotNull(table, column), Unique(table, column)]
 
