@@ -115,8 +115,8 @@ def sequence_key(df: DataFrame, order: Sequence[str], name: str, store: Store) -
     in_range = F.col("_position").bitwiseAND((1 << 33) - 1)
     ranges = F.shiftright("_position", 33)
 
-    if placed.filter(ranges > 0).isEmpty():
-        return placed.select((F.col("_position") + 1).alias(name), *df.columns)
+    if len(placed.inputFiles()) <= 1:
+        return placed.select((in_range + 1).alias(name), *df.columns)
     # One row per range; the number of ranges is the number of write tasks.
     sizes = placed.groupBy(ranges.alias("_range")).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

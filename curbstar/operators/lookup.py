@@ -41,14 +41,26 @@ def natural(*cols: str) -> dict[str, str]:
     return {c: c for c in cols}
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Upper bound of the data in ``df``, from one aggregate over it."""
-    width = F.lit(0)
+def measured_bytes(frames: Sequence[DataFrame]) -> list[int]:
+    """Upper bound of the data in each frame, from one job over all of them."""
+    if not frames:
+        return []
+    sizes = [
+        df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")).select(
+            F.lit(i).alias("frame"), "bytes"
+        )
+        for i, df in enumerate(frames)
+    ]
+    found = {row.frame: row.bytes for row in reduce(DataFrame.unionByName, sizes).collect()}
+    return [found[i] for i in range(len(frames))]
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    width = F.lit(16 * len(df.columns)).cast("bigint")
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
-        width = width + 16
-    return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
+    return width
 
 
 def lookup_fk(
@@ -72,7 +84,7 @@ def lookup_fk(
     keyed = fact.withColumns({f"_f{i}": f for i, (_, f, _) in enumerate(pairs)})
     tolerant = [t for _, _, t in pairs]
     if small is None:
-        small = measured_bytes(dim) <= BROADCAST_BYTES
+        small = measured_bytes([dim])[0] <= BROADCAST_BYTES
     if small:
         found = keyed.join(F.broadcast(dim), _condition(tolerant, "_f", "_d"), "left")
     else:
@@ -84,18 +96,32 @@ def lookup_role(
     fact: DataFrame, date_dim: DataFrame, roles: Mapping[str, str], key: str = "date_key"
 ) -> DataFrame:
     """Several date keys from one day-grain dimension: ``{timestamp column: key name}``."""
-    small = measured_bytes(date_dim.select("full_date", key)) <= BROADCAST_BYTES
+    small = measured_bytes([date_dim.select("full_date", key)])[0] <= BROADCAST_BYTES
     for ts, name in roles.items():
         role = Lookup(date_dim, key, {"full_date": F.to_date(ts)}, name)
         fact = lookup_fk(fact, role, small=small)
     return fact
 
 
+def star_lookups(
+    dims: Mapping[str, DataFrame], keys: Mapping[str, tuple[str, Sequence[str], bool]]
+) -> list[Lookup]:
+    """Lookups into the given dimensions: ``keys`` maps each to (key, natural key, null-safe)."""
+    return [
+        Lookup(dims[name], key, natural(*cols), null_safe=null_safe)
+        for name, (key, cols, null_safe) in keys.items()
+        if name in dims
+    ]
+
+
 def build_fact(
     staged: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str | Column]
 ) -> DataFrame:
     """Staged rows, every foreign key, then the fact's columns."""
-    return reduce(lookup_fk, lookups, staged).select(*columns)
+    sizes = measured_bytes([lookup.dim.select(lookup.key, *lookup.on) for lookup in lookups])
+    for lookup, size in zip(lookups, sizes):
+        staged = lookup_fk(staged, lookup, small=size <= BROADCAST_BYTES)
+    return staged.select(*columns)
 
 
 def _key_pairs(lookup: Lookup) -> list[tuple[Column, Column, bool]]:

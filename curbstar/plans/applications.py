@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -188,20 +189,17 @@ def dim_seating_type(applications: DataFrame) -> DataFrame:
     return types.select(hash_key(*types.columns).alias("seating_type_key"), *types.columns)
 
 
-def fact_311_dot_requests(
-    requests: DataFrame, days: DataFrame, complaint_type: DataFrame
-) -> DataFrame:
+def fact_311_dot_requests(requests: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """One row per request.
 
     The location dimension holds every location of the requests, so its hashed key is computed
     on the spot. A complaint type that occurs both with a NULL and a blank descriptor has two
     dimension rows, and its requests get one fact row for each.
     """
-    dated = lookup_role(
-        requests, days, {"created_date": "created_date_key", "closed_date": "closed_date_key"}
-    )
+    roles = {"created_date": "created_date_key", "closed_date": "closed_date_key"}
+    dated = lookup_role(requests, dims["dim_date_assignment"], roles)
     by_type = Lookup(
-        complaint_type,
+        dims["dim_complaint_type"],
         "complaint_type_key",
         {"complaint_type": "complaint_type", "descriptor": "descriptor"},
         null_as={"descriptor": ""},
@@ -235,11 +233,14 @@ def fact_311_dot_requests(
 
 
 def fact_restaurant_applications(
-    applications: DataFrame, days: DataFrame, seating_type: DataFrame
+    applications: DataFrame, dims: Mapping[str, DataFrame]
 ) -> DataFrame:
     """One row per application; location and restaurant keys are computed on the spot."""
+    dated = lookup_role(
+        applications, dims["dim_date_assignment"], {"time_of_submission": "submission_date_key"}
+    )
     by_seating = Lookup(
-        seating_type,
+        dims["dim_seating_type"],
         "seating_type_key",
         {
             "seating_interest": "seating_interest",
@@ -248,7 +249,7 @@ def fact_restaurant_applications(
         },
     )
     return build_fact(
-        lookup_role(applications, days, {"time_of_submission": "submission_date_key"}),
+        dated,
         [by_seating],
         [
             hash_key("application_id").alias("application_key"),
@@ -290,6 +291,18 @@ class Applications(Plan):
         "fact_311_dot_requests",
         "fact_restaurant_applications",
     ]
+    facts = {
+        "fact_311_dot_requests": (
+            "stg_nyc_311_dot",
+            fact_311_dot_requests,
+            ["dim_date_assignment", "dim_complaint_type"],
+        ),
+        "fact_restaurant_applications": (
+            "stg_nyc_open_restaurant_apps",
+            fact_restaurant_applications,
+            ["dim_date_assignment", "dim_seating_type"],
+        ),
+    }
 
     def __init__(
         self,
@@ -307,8 +320,7 @@ class Applications(Plan):
         staged = name.startswith("stg_") or name == "test_311_sample"
         return "nyc_transit_restaurants_staging" if staged else "nyc_transit_restaurants_marts"
 
-    def plan(self, name: str) -> DataFrame:
-        t = self.table
+    def plan_other(self, name: str) -> DataFrame:
         requests, applications = "stg_nyc_311_dot", "stg_nyc_open_restaurant_apps"
         match name:
             case "stg_nyc_311_dot":
@@ -318,23 +330,15 @@ class Applications(Plan):
             case "test_311_sample":
                 return sample(self.raw_requests)
             case "dim_date_assignment":
-                return dim_date(t(requests), t(applications))
+                return dim_date(*self.together(requests, applications))
             case "dim_location_assignment":
-                return dim_location(t(requests), t(applications))
+                return dim_location(*self.together(requests, applications))
             case "dim_complaint_type":
-                return dim_complaint_type(t(requests))
+                return dim_complaint_type(self.table(requests))
             case "dim_restaurant":
-                return dim_restaurant(t(applications))
+                return dim_restaurant(self.table(applications))
             case "dim_seating_type":
-                return dim_seating_type(t(applications))
-            case "fact_311_dot_requests":
-                return fact_311_dot_requests(
-                    t(requests), t("dim_date_assignment"), t("dim_complaint_type")
-                )
-            case "fact_restaurant_applications":
-                return fact_restaurant_applications(
-                    t(applications), t("dim_date_assignment"), t("dim_seating_type")
-                )
+                return dim_seating_type(self.table(applications))
         raise KeyError(name)
 
 

@@ -3,35 +3,63 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from threading import RLock
 
 from pyspark.sql import DataFrame
 
 from curbstar.sources.store import Store
 
+# Builds a fact from its staged rows and its dimensions by name; a dimension that is left out
+# leaves out its foreign key.
+FactBuilder = Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame]
+
 
 class Plan(ABC):
     """Tables are built on first use and written, so every reader sees the same rows."""
 
     tables: list[str]
+    # Fact table: staging table, builder, dimensions.
+    facts: Mapping[str, tuple[str, FactBuilder, list[str]]]
 
     def __init__(self, store: Store):
         self.store = store
         self._built: dict[str, DataFrame] = {}
+        self._locks = {name: RLock() for name in self.tables}
 
     @abstractmethod
-    def plan(self, name: str) -> DataFrame:
-        """The table as a plan over its written inputs, itself not written."""
+    def plan_other(self, name: str) -> DataFrame:
+        """A table that is not a fact, as a plan over its written inputs."""
 
     @abstractmethod
     def layer(self, name: str) -> str:
         """The layer that the table belongs to."""
 
+    def plan(self, name: str) -> DataFrame:
+        """The table as a plan over its written inputs, itself not written."""
+        return self.fact(name, *self.facts[name][2]) if name in self.facts else self.plan_other(name)
+
+    def fact(self, name: str, *dims: str) -> DataFrame:
+        """The written fact; before it is written, a plan of it with these dimensions' keys only."""
+        if name in self._built:
+            return self._built[name]
+        staged, builder, _ = self.facts[name]
+        rows, *found = self.together(staged, *dims)
+        return builder(rows, dict(zip(dims, found)))
+
     def table(self, name: str) -> DataFrame:
         """The written table."""
-        if name not in self._built:
-            self._built[name] = self.store.table(self.layer(name), name, self.plan(name))
-        return self._built[name]
+        with self._locks[name]:
+            if name not in self._built:
+                self._built[name] = self.store.table(self.layer(name), name, self.plan(name))
+            return self._built[name]
+
+    def together(self, *names: str) -> list[DataFrame]:
+        """Several written tables; Spark runs the jobs of those not yet written side by side."""
+        with ThreadPoolExecutor(max(len(names), 1)) as pool:
+            return list(pool.map(self.table, names))
 
     def build(self) -> dict[str, DataFrame]:
         """Build and write all tables."""
-        return {name: self.table(name) for name in self.tables}
+        return dict(zip(self.tables, self.together(*self.tables)))

@@ -25,7 +25,7 @@ from curbstar.functions.clean import (
 from curbstar.functions.keys import hash_fk, hash_key
 from curbstar.operators.dedup import dedup_latest
 from curbstar.operators.dims import distinct_dim, grouped_dim, hour_dim_spanning
-from curbstar.operators.lookup import Lookup, lookup_fk, lookup_role, natural
+from curbstar.operators.lookup import Lookup, build_fact, lookup_fk, lookup_role, natural
 from curbstar.operators.project import require, safe_project, strict_project
 from curbstar.operators.quality import run_checks
 from curbstar.operators.reports import Series, scorecards, series_counts, share_within
@@ -243,12 +243,10 @@ def dim_grouped_max_avg(spark: SparkSession, sf: str) -> DataFrame:
 
 def fk_lookup_null_safe(spark: SparkSession, sf: str) -> DataFrame:
     t = trade.Trade(spark, sf)
-    by_place = Lookup(t.table("dim_location"), "location_key", natural(*trade.LOCATION), null_safe=True)
-    by_problem = Lookup(
-        t.table("dim_problem"), "problem_key", natural(*trade.PROBLEM), null_safe={"priority"}
-    )
-    found = lookup_fk(lookup_fk(t.table("stg_orders"), by_place), by_problem)
-    return found.select("order_id", "location_key", "problem_key")
+    orders, place, problem = t.together("stg_orders", "dim_location", "dim_problem")
+    by_place = Lookup(place, "location_key", natural(*trade.LOCATION), null_safe=True)
+    by_problem = Lookup(problem, "problem_key", natural(*trade.PROBLEM), null_safe={"priority"})
+    return build_fact(orders, [by_place, by_problem], ["order_id", "location_key", "problem_key"])
 
 
 def fk_lookup_strict(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,9 +272,9 @@ def fk_lookup_large_dim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def role_playing_dates(spark: SparkSession, sf: str) -> DataFrame:
-    t = trade.Trade(spark, sf)
+    requests, days = trade.Trade(spark, sf).together("stg_requests", "dim_day")
     roles = {"created_at": "order_date_key", "shipped_at": "ship_date_key"}
-    return lookup_role(t.table("stg_requests"), t.table("dim_day"), roles).select(
+    return lookup_role(requests, days, roles).select(
         "request_id", "order_date_key", "ship_date_key"
     )
 
@@ -319,7 +317,12 @@ def days_to_close(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q1_region_series(spark: SparkSession, sf: str) -> DataFrame:
-    return series_counts(trade.Trade(spark, sf).series("dim_location", "location_key"), natural("borough"))
+    return _by_location(spark, sf, "borough")
+
+
+def _by_location(spark: SparkSession, sf: str, *by: str) -> DataFrame:
+    series = trade.Trade(spark, sf).series("dim_location", "location_key", "dim_location")
+    return series_counts(series, natural(*by))
 
 
 def _by_date(spark: SparkSession, sf: str, **by) -> DataFrame:
@@ -341,7 +344,7 @@ def q4_weekday_series(spark: SparkSession, sf: str) -> DataFrame:
 def q5_type_share(spark: SparkSession, sf: str) -> DataFrame:
     t = trade.Trade(spark, sf)
     return share_within(
-        t.table("fact_shipments"),
+        t.fact("fact_shipments", "dim_location", "dim_type"),
         (t.table("dim_location"), "location_key", "borough"),
         (t.table("dim_type"), "type_key", "category"),
         "violation_count",
@@ -362,9 +365,7 @@ def peak_period_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drilldown_location(spark: SparkSession, sf: str) -> DataFrame:
-    t = trade.Trade(spark, sf)
-    by = natural("borough", "neighborhood", "zip_code")
-    return series_counts(t.series("dim_location", "location_key"), by)
+    return _by_location(spark, sf, "borough", "neighborhood", "zip_code")
 
 
 # --- quality -------------------------------------------------------------------------------------
@@ -375,9 +376,9 @@ def quality(*names: str, checks: list) -> Query:
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         t = trade.Trade(spark, sf)
-        tables = {}
-        for name in names:
-            tables[name] = t.table(name) if name in t.tables else read(spark, sf, name)
+        built = [name for name in names if name in t.tables]
+        tables = dict(zip(built, t.together(*built)))
+        tables |= {name: read(spark, sf, name) for name in names if name not in built}
         if "lineitem" in tables:
             line_id = F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
             tables["lineitem"] = tables["lineitem"].select(line_id.alias("line_id"))
@@ -414,7 +415,7 @@ def applications_model(name: str) -> Query:
 def calendar_use(spark: SparkSession, sf: str) -> DataFrame:
     """The generated hour calendar with the number of complaints and violations in each hour."""
     e = enforcement_plan(spark, sf)
-    days = e.table("dim_date")
+    days, *_ = e.together("dim_date", "stg_311", "stg_ace")
     for fact, ts, name in (
         ("stg_311", "created_at", "complaints"),
         ("stg_ace", "first_occurrence", "violations"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from curbstar.operators.dims import (
     representative,
     sequence_key,
 )
-from curbstar.operators.lookup import Lookup, build_fact, natural
+from curbstar.operators.lookup import build_fact, natural, star_lookups
 from curbstar.operators.project import require, safe_project
 from curbstar.operators.quality import Accepted, NotNull, Related, Unique
 from curbstar.operators.reports import Series, series_counts, share_within, total
@@ -28,6 +30,18 @@ LOCATION = ["borough", "zip_code", "neighborhood", "council_district"]
 PROBLEM = ["agency", "complaint_type", "problem_detail"]
 VIOLATION_TYPE = ["violation_category", "violation_status"]
 
+# Foreign keys by dimension: key, natural key, NULL matches NULL.
+COMPLAINT_KEYS = {
+    "dim_location": ("location_key", LOCATION, True),
+    "dim_311_problem": ("problem_key", PROBLEM, True),
+}
+VIOLATION_KEYS = {
+    "dim_location": ("location_key", LOCATION, True),
+    "dim_ace_violation_type": ("violation_type_key", VIOLATION_TYPE, True),
+    "dim_bus_route": ("route_key", ["bus_route_id"], False),
+    "dim_bus_stop": ("bus_stop_key", ["stop_id"], False),
+}
+
 
 def stg_311(raw: DataFrame) -> DataFrame:
     """Typed, curb-related complaints, the latest version of each."""
@@ -122,18 +136,15 @@ def dim_bus_stop(violations: DataFrame, store: Store) -> DataFrame:
     return sequence_key(stops, ["stop_id"], "bus_stop_key", store)
 
 
-def fact_311_complaints(complaints: DataFrame, location: DataFrame, problem: DataFrame) -> DataFrame:
+def fact_311_complaints(complaints: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    lookups = star_lookups(dims, COMPLAINT_KEYS)
     return build_fact(
         complaints,
-        [
-            Lookup(location, "location_key", natural(*LOCATION), null_safe=True),
-            Lookup(problem, "problem_key", natural(*PROBLEM), null_safe=True),
-        ],
+        lookups,
         [
             F.col("complaint_id").alias("unique_key"),
             cal.hour_key("created_at").alias("date_key"),
-            "location_key",
-            "problem_key",
+            *[lookup.key for lookup in lookups],
             "latitude",
             "longitude",
             "status",
@@ -142,28 +153,15 @@ def fact_311_complaints(complaints: DataFrame, location: DataFrame, problem: Dat
     )
 
 
-def fact_ace_violations(
-    violations: DataFrame,
-    location: DataFrame,
-    violation_type: DataFrame,
-    route: DataFrame,
-    stop: DataFrame,
-) -> DataFrame:
+def fact_ace_violations(violations: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    lookups = star_lookups(dims, VIOLATION_KEYS)
     return build_fact(
         violations,
-        [
-            Lookup(location, "location_key", natural(*LOCATION), null_safe=True),
-            Lookup(violation_type, "violation_type_key", natural(*VIOLATION_TYPE), null_safe=True),
-            Lookup(route, "route_key", natural("bus_route_id")),
-            Lookup(stop, "bus_stop_key", natural("stop_id")),
-        ],
+        lookups,
         [
             "violation_id",
             cal.hour_key("first_occurrence").alias("date_key"),
-            "location_key",
-            "violation_type_key",
-            "route_key",
-            "bus_stop_key",
+            *[lookup.key for lookup in lookups],
             "violation_latitude",
             "violation_longitude",
             "first_occurrence",
@@ -188,6 +186,10 @@ class Enforcement(Plan):
         "fact_311_complaints",
         "fact_ace_violations",
     ]
+    facts = {
+        "fact_311_complaints": ("stg_311", fact_311_complaints, list(COMPLAINT_KEYS)),
+        "fact_ace_violations": ("stg_ace", fact_ace_violations, list(VIOLATION_KEYS)),
+    }
 
     def __init__(self, raw_complaints: DataFrame, raw_violations: DataFrame, store: Store):
         super().__init__(store)
@@ -197,7 +199,7 @@ class Enforcement(Plan):
     def layer(self, name: str) -> str:
         return "staging" if name.startswith("stg_") else "marts_core"
 
-    def plan(self, name: str) -> DataFrame:
+    def plan_other(self, name: str) -> DataFrame:
         t, store = self.table, self.store
         match name:
             case "stg_311":
@@ -207,7 +209,7 @@ class Enforcement(Plan):
             case "dim_date":
                 return hour_dim(store.spark)
             case "dim_location":
-                return dim_location(t("stg_311"), t("stg_ace"), store)
+                return dim_location(*self.together("stg_311", "stg_ace"), store)
             case "dim_311_problem":
                 return dim_311_problem(t("stg_311"), store)
             case "dim_ace_violation_type":
@@ -216,27 +218,23 @@ class Enforcement(Plan):
                 return dim_bus_route(t("stg_ace"), store)
             case "dim_bus_stop":
                 return dim_bus_stop(t("stg_ace"), store)
-            case "fact_311_complaints":
-                return fact_311_complaints(t("stg_311"), t("dim_location"), t("dim_311_problem"))
-            case "fact_ace_violations":
-                return fact_ace_violations(
-                    t("stg_ace"),
-                    t("dim_location"),
-                    t("dim_ace_violation_type"),
-                    t("dim_bus_route"),
-                    t("dim_bus_stop"),
-                )
         raise KeyError(name)
 
-    def series(self, dim: str, key: str) -> list[Series]:
+    def series(self, dim: str, key: str, *lookups: str) -> list[Series]:
+        """Both facts, for counting through ``dim``; ``lookups`` are the keys that this takes."""
+        self.together("stg_311", "stg_ace", dim)
+        violations = self.fact("fact_ace_violations", *lookups)
+        complaints = self.fact("fact_311_complaints", *lookups)
         return [
-            Series(fv.CAMERA_SERIES, self.table("fact_ace_violations"), self.table(dim), key),
-            Series(fv.COMPLAINT_SERIES, self.table("fact_311_complaints"), self.table(dim), key),
+            Series(fv.CAMERA_SERIES, violations, self.table(dim), key),
+            Series(fv.COMPLAINT_SERIES, complaints, self.table(dim), key),
         ]
 
     def by_location(self, *attributes: str) -> DataFrame:
         """Both series by any location attributes."""
-        return series_counts(self.series("dim_location", "location_key"), natural(*attributes))
+        return series_counts(
+            self.series("dim_location", "location_key", "dim_location"), natural(*attributes)
+        )
 
     def by_date(self, *attributes: str) -> DataFrame:
         """Both series by any calendar attributes."""
@@ -256,19 +254,20 @@ class Enforcement(Plan):
         return self.by_date("day_of_week")
 
     def type_share_by_borough(self) -> DataFrame:
+        location, kind = "dim_location", "dim_ace_violation_type"
         return share_within(
-            self.table("fact_ace_violations"),
-            (self.table("dim_location"), "location_key", "borough"),
-            (self.table("dim_ace_violation_type"), "violation_type_key", "violation_category"),
+            self.fact("fact_ace_violations", location, kind),
+            (self.table(location), "location_key", "borough"),
+            (self.table(kind), "violation_type_key", "violation_category"),
             "violation_count",
             "borough_share",
         )
 
     def total_violations(self) -> DataFrame:
-        return total(self.table("fact_ace_violations"), "total_ace_violations")
+        return total(self.fact("fact_ace_violations"), "total_ace_violations")
 
     def total_complaints(self) -> DataFrame:
-        return total(self.table("fact_311_complaints"), "total_311_complaints")
+        return total(self.fact("fact_311_complaints"), "total_311_complaints")
 
 
 def _key(table: str, column: str) -> list[NotNull | Unique]:

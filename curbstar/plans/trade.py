@@ -5,6 +5,8 @@ Orders know their full location, shipments only a region, as complaints and came
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from curbstar.operators.dims import (
     representative,
     sequence_key,
 )
-from curbstar.operators.lookup import Lookup, build_fact, lookup_role, natural
+from curbstar.operators.lookup import Lookup, build_fact, lookup_role, natural, star_lookups
 from curbstar.operators.quality import Accepted, NotNull, Related, Unique
 from curbstar.operators.reports import Series
 from curbstar.plans.base import Plan
@@ -32,6 +34,18 @@ LOCATION = ["borough", "zip_code", "neighborhood", "council_district"]
 HASHED_LOCATION = ["borough", "zip_code"]
 PROBLEM = ["status", "priority"]
 TYPE = ["category", "ship_status"]
+
+# Foreign keys by dimension: key, natural key, NULL matches NULL.
+ORDER_KEYS = {
+    "dim_location": ("location_key", LOCATION, True),
+    "dim_problem": ("problem_key", PROBLEM, True),
+}
+SHIPMENT_KEYS = {
+    "dim_location": ("location_key", LOCATION, True),
+    "dim_type": ("type_key", TYPE, True),
+    "dim_route": ("route_key", ["route_id"], False),
+    "dim_stop": ("stop_key", ["stop_id"], False),
+}
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")
 
 
@@ -108,6 +122,63 @@ def stg_requests(shipments: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def fact_orders(orders: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    lookups = star_lookups(dims, ORDER_KEYS)
+    return build_fact(
+        orders,
+        lookups,
+        [
+            "order_id",
+            "customer_id",
+            cal.hour_key("created_at").alias("date_key"),
+            *[lookup.key for lookup in lookups],
+            "total_price",
+            "status",
+            "created_at",
+        ],
+    )
+
+
+def fact_shipments(shipments: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    lookups = star_lookups(dims, SHIPMENT_KEYS)
+    return build_fact(
+        shipments,
+        lookups,
+        [
+            "shipment_id",
+            cal.hour_key("shipped_at").alias("date_key"),
+            *[lookup.key for lookup in lookups],
+            "quantity",
+            "shipped_at",
+        ],
+    )
+
+
+def fact_requests(requests: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    roles = {"created_at": "created_date_key", "closed_at": "closed_date_key"}
+    by_place = Lookup(dims["dim_location_hashed"], "location_key", natural(*HASHED_LOCATION))
+    by_problem = Lookup(
+        dims["dim_problem_hashed"], "problem_key", natural(*PROBLEM), null_as={"priority": ""}
+    )
+    return build_fact(
+        lookup_role(requests, dims["dim_day"], roles),
+        [by_place, by_problem],
+        [
+            hash_key("request_id").alias("request_key"),
+            "request_id",
+            "created_at",
+            "closed_at",
+            "created_date_key",
+            "closed_date_key",
+            "location_key",
+            "problem_key",
+            cal.days_between("created_at", "closed_at").alias("days_to_close"),
+            flag_eq("status", "F").alias("is_closed"),
+            "status",
+        ],
+    )
+
+
 class Trade(Plan):
     """Both stars, with integer and with hashed keys."""
 
@@ -128,6 +199,15 @@ class Trade(Plan):
         "fact_shipments",
         "fact_requests",
     ]
+    facts = {
+        "fact_orders": ("stg_orders", fact_orders, list(ORDER_KEYS)),
+        "fact_shipments": ("stg_shipments", fact_shipments, list(SHIPMENT_KEYS)),
+        "fact_requests": (
+            "stg_requests",
+            fact_requests,
+            ["dim_day", "dim_location_hashed", "dim_problem_hashed"],
+        ),
+    }
 
     def __init__(self, spark: SparkSession, sf_dir: str, store: Store | None = None):
         super().__init__(store or Store.scratch(spark))
@@ -137,7 +217,7 @@ class Trade(Plan):
     def layer(self, name: str) -> str:
         return "staging" if name.startswith("stg_") else "marts"
 
-    def plan(self, name: str) -> DataFrame:
+    def plan_other(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
 
     def _stg_orders(self) -> DataFrame:
@@ -147,12 +227,12 @@ class Trade(Plan):
         return stg_shipments(self.spark, self.sf_dir)
 
     def _stg_requests(self) -> DataFrame:
-        return stg_requests(self.table("stg_shipments"), self.table("stg_orders"))
+        return stg_requests(*self.together("stg_shipments", "stg_orders"))
 
     def _dim_hour(self) -> DataFrame:
-        moments = self.table("stg_orders").select(F.col("created_at").alias("ts"))
-        moments = moments.union(self.table("stg_shipments").select("shipped_at"))
-        return hour_dim_spanning(moments, "ts")
+        orders, shipments = self.together("stg_orders", "stg_shipments")
+        moments = orders.select(F.col("created_at").alias("ts"))
+        return hour_dim_spanning(moments.union(shipments.select("shipped_at")), "ts")
 
     def _dim_day(self) -> DataFrame:
         orders = read(self.spark, self.sf_dir, "orders")
@@ -160,11 +240,13 @@ class Trade(Plan):
         return date_dim_from([(orders, "o_orderdate"), (lines, "l_shipdate")])
 
     def _dim_location(self) -> DataFrame:
-        sources = [self.table(t).select(*LOCATION) for t in ("stg_orders", "stg_shipments")]
+        staged = self.together("stg_orders", "stg_shipments")
+        sources = [df.select(*LOCATION) for df in staged]
         return sequence_key(conformed_dim(sources), LOCATION, "location_key", self.store)
 
     def _dim_location_hashed(self) -> DataFrame:
-        sources = [self.table(t).select(*HASHED_LOCATION) for t in ("stg_orders", "stg_shipments")]
+        staged = self.together("stg_orders", "stg_shipments")
+        sources = [df.select(*HASHED_LOCATION) for df in staged]
         places = conformed_dim(sources, not_null=["borough"])
         return places.select(hash_key(*HASHED_LOCATION).alias("location_key"), *HASHED_LOCATION)
 
@@ -191,82 +273,13 @@ class Trade(Plan):
         stops = grouped_dim(shipments.filter(F.col("stop_id").isNotNull()), ["stop_id"], attributes)
         return sequence_key(stops, ["stop_id"], "stop_key", self.store)
 
-    def _fact_orders(self) -> DataFrame:
-        return build_fact(
-            self.table("stg_orders"),
-            [
-                Lookup(self.table("dim_location"), "location_key", natural(*LOCATION), null_safe=True),
-                Lookup(self.table("dim_problem"), "problem_key", natural(*PROBLEM), null_safe=True),
-            ],
-            [
-                "order_id",
-                "customer_id",
-                cal.hour_key("created_at").alias("date_key"),
-                "location_key",
-                "problem_key",
-                "total_price",
-                "status",
-                "created_at",
-            ],
-        )
-
-    def _fact_shipments(self) -> DataFrame:
-        return build_fact(
-            self.table("stg_shipments"),
-            [
-                Lookup(self.table("dim_location"), "location_key", natural(*LOCATION), null_safe=True),
-                Lookup(self.table("dim_type"), "type_key", natural(*TYPE), null_safe=True),
-                Lookup(self.table("dim_route"), "route_key", natural("route_id")),
-                Lookup(self.table("dim_stop"), "stop_key", natural("stop_id")),
-            ],
-            [
-                "shipment_id",
-                cal.hour_key("shipped_at").alias("date_key"),
-                "location_key",
-                "type_key",
-                "route_key",
-                "stop_key",
-                "quantity",
-                "shipped_at",
-            ],
-        )
-
-    def _fact_requests(self) -> DataFrame:
-        dated = lookup_role(
-            self.table("stg_requests"),
-            self.table("dim_day"),
-            {"created_at": "created_date_key", "closed_at": "closed_date_key"},
-        )
-        return build_fact(
-            dated,
-            [
-                Lookup(self.table("dim_location_hashed"), "location_key", natural(*HASHED_LOCATION)),
-                Lookup(
-                    self.table("dim_problem_hashed"),
-                    "problem_key",
-                    natural(*PROBLEM),
-                    null_as={"priority": ""},
-                ),
-            ],
-            [
-                hash_key("request_id").alias("request_key"),
-                "request_id",
-                "created_at",
-                "closed_at",
-                "created_date_key",
-                "closed_date_key",
-                "location_key",
-                "problem_key",
-                cal.days_between("created_at", "closed_at").alias("days_to_close"),
-                flag_eq("status", "F").alias("is_closed"),
-                "status",
-            ],
-        )
-
-    def series(self, dim: str, key: str) -> list[Series]:
+    def series(self, dim: str, key: str, *lookups: str) -> list[Series]:
+        """Both facts, for counting through ``dim``; ``lookups`` are the keys that this takes."""
+        self.together("stg_orders", "stg_shipments", dim)
+        orders, shipments = self.fact("fact_orders", *lookups), self.fact("fact_shipments", *lookups)
         return [
-            Series("Orders", self.table("fact_orders"), self.table(dim), key),
-            Series("Shipments", self.table("fact_shipments"), self.table(dim), key),
+            Series("Orders", orders, self.table(dim), key),
+            Series("Shipments", shipments, self.table(dim), key),
         ]
 
 
