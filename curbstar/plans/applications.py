@@ -277,7 +277,8 @@ def fact_restaurant_applications(
 
 
 class Applications(Plan):
-    """The whole pipeline on two raw extracts; ``as_of`` fixes the day the request window ends."""
+    """The whole pipeline on ``source_dot_service_requests_history`` and
+    ``source_nyc_open_restaurant_apps``."""
 
     tables = [
         "stg_nyc_311_dot",
@@ -304,17 +305,8 @@ class Applications(Plan):
         ),
     }
 
-    def __init__(
-        self,
-        raw_requests: DataFrame,
-        raw_applications: DataFrame,
-        store: Store,
-        as_of: date | None = None,
-    ):
-        super().__init__(store)
-        self.raw_requests = raw_requests
-        self.raw_applications = raw_applications
-        self.as_of = as_of
+    # The day the request window ends; today if not set.
+    as_of: date | None = None
 
     def layer(self, name: str) -> str:
         staged = name.startswith("stg_") or name == "test_311_sample"
@@ -324,11 +316,11 @@ class Applications(Plan):
         requests, applications = "stg_nyc_311_dot", "stg_nyc_open_restaurant_apps"
         match name:
             case "stg_nyc_311_dot":
-                return stg_nyc_311_dot(self.raw_requests, self.as_of)
+                return stg_nyc_311_dot(self.table("source_dot_service_requests_history"), self.as_of)
             case "stg_nyc_open_restaurant_apps":
-                return stg_nyc_open_restaurant_apps(self.raw_applications)
+                return stg_nyc_open_restaurant_apps(self.table("source_nyc_open_restaurant_apps"))
             case "test_311_sample":
-                return sample(self.raw_requests)
+                return sample(self.table("source_dot_service_requests_history"))
             case "dim_date_assignment":
                 return dim_date(*self.together(requests, applications))
             case "dim_location_assignment":

@@ -17,16 +17,21 @@ FactBuilder = Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame]
 
 
 class Plan(ABC):
-    """Tables are built on first use and written, so every reader sees the same rows."""
+    """Tables are built on first use and written, so every reader sees the same rows.
+
+    ``sources`` are the raw extracts by name. With ``land`` they are written first too, which
+    pays off when reading them costs more than reading a written copy.
+    """
 
     tables: list[str]
     # Fact table: staging table, builder, dimensions.
     facts: Mapping[str, tuple[str, FactBuilder, list[str]]]
 
-    def __init__(self, store: Store):
+    def __init__(self, store: Store, sources: Mapping[str, DataFrame], land: bool = False):
         self.store = store
-        self._built: dict[str, DataFrame] = {}
-        self._locks = {name: RLock() for name in self.tables}
+        self.sources = sources
+        self._built: dict[str, DataFrame] = {} if land else dict(sources)
+        self._locks = {name: RLock() for name in (*sources, *self.tables)}
 
     @abstractmethod
     def plan_other(self, name: str) -> DataFrame:
@@ -38,6 +43,8 @@ class Plan(ABC):
 
     def plan(self, name: str) -> DataFrame:
         """The table as a plan over its written inputs, itself not written."""
+        if name in self.sources:
+            return self.sources[name]
         return self.fact(name, *self.facts[name][2]) if name in self.facts else self.plan_other(name)
 
     def fact(self, name: str, *dims: str) -> DataFrame:
@@ -52,7 +59,8 @@ class Plan(ABC):
         """The written table."""
         with self._locks[name]:
             if name not in self._built:
-                self._built[name] = self.store.table(self.layer(name), name, self.plan(name))
+                layer = "raw" if name in self.sources else self.layer(name)
+                self._built[name] = self.store.table(layer, name, self.plan(name))
             return self._built[name]
 
     def together(self, *names: str) -> list[DataFrame]:

@@ -391,13 +391,21 @@ def quality(*names: str, checks: list) -> Query:
 
 
 def enforcement_plan(spark: SparkSession, sf: str) -> enforcement.Enforcement:
-    complaints, violations = raw_feeds.complaints(spark, sf), raw_feeds.camera_violations(spark, sf)
-    return enforcement.Enforcement(complaints, violations, Store.scratch(spark))
+    feeds = {
+        "source_nyc_311_traffic": raw_feeds.complaints(spark, sf),
+        "source_mta_ace_violations": raw_feeds.camera_violations(spark, sf),
+    }
+    return enforcement.Enforcement(Store.scratch(spark), feeds, land=True)
 
 
 def applications_plan(spark: SparkSession, sf: str) -> applications.Applications:
-    requests, seating = raw_feeds.service_requests(spark, sf), raw_feeds.seating_applications(spark, sf)
-    return applications.Applications(requests, seating, Store.scratch(spark), AS_OF)
+    feeds = {
+        "source_dot_service_requests_history": raw_feeds.service_requests(spark, sf),
+        "source_nyc_open_restaurant_apps": raw_feeds.seating_applications(spark, sf),
+    }
+    plan = applications.Applications(Store.scratch(spark), feeds, land=True)
+    plan.as_of = AS_OF
+    return plan
 
 
 def enforcement_model(name: str) -> Query:
@@ -430,11 +438,9 @@ def enforcement_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_checks(spark: SparkSession, sf: str) -> DataFrame:
-    raw = {
-        "source_dot_service_requests_history": raw_feeds.service_requests(spark, sf),
-        "source_nyc_open_restaurant_apps": raw_feeds.seating_applications(spark, sf),
-    }
-    return run_checks(raw, applications.SOURCE_CHECKS)
+    plan = applications_plan(spark, sf)
+    extracts = dict(zip(plan.sources, plan.together(*plan.sources)))
+    return run_checks(extracts, applications.SOURCE_CHECKS)
 
 
 def plain(df: DataFrame) -> DataFrame:

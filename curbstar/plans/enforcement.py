@@ -44,65 +44,86 @@ VIOLATION_KEYS = {
 
 
 def stg_311(raw: DataFrame) -> DataFrame:
-    """Typed, curb-related complaints, the latest version of each."""
-    typed = safe_project(
+    """Typed, curb-related complaints, the latest version of each.
+
+    Only what decides between versions is cast before the shuffle, the rest on the kept rows.
+    """
+    texts = {
+        "agency": "agency",
+        "complaint_type": "complaint_type",
+        "problem_detail": "descriptor",
+        "status": "status",
+        "borough": F.upper("borough"),
+        "zip_code": "incident_zip",
+        "neighborhood": "community_board",
+    }
+    versions = safe_project(
         raw,
         {
             "complaint_id": ("unique_key", "bigint"),
             "created_at": ("created_date", "timestamp"),
             "closed_at": ("closed_date", "timestamp"),
-            "agency": "agency",
-            "complaint_type": "complaint_type",
-            "problem_detail": "descriptor",
-            "status": "status",
-            "borough": F.upper("borough"),
-            "zip_code": "incident_zip",
-            "neighborhood": "community_board",
-            "council_district": ("council_district", "bigint"),
-            "latitude": ("latitude", "double"),
-            "longitude": ("longitude", "double"),
+            **texts,
+            "council_district": "council_district",
+            "latitude": "latitude",
+            "longitude": "longitude",
         },
     )
     valid = require(
-        typed,
+        versions,
         ["complaint_id", "created_at", "borough"],
         {"complaint_type": fv.CURB_COMPLAINT_TYPES},
     )
     tiebreak = [c for c in valid.columns if c != "complaint_id"]
-    return dedup_latest(valid, ["complaint_id"], F.coalesce("closed_at", "created_at"), tiebreak)
+    latest = dedup_latest(valid, ["complaint_id"], F.coalesce("closed_at", "created_at"), tiebreak)
+    return safe_project(
+        latest,
+        {
+            **{c: c for c in ("complaint_id", "created_at", "closed_at", *texts)},
+            "council_district": ("council_district", "bigint"),
+            "latitude": ("latitude", "double"),
+            "longitude": ("longitude", "double"),
+        },
+    )
 
 
 def stg_ace(raw: DataFrame) -> DataFrame:
-    """Typed camera violations with a borough read off the route, the latest version of each."""
-    typed = safe_project(
-        raw,
+    """Typed camera violations with a borough read off the route, the latest version of each.
+
+    Only what decides between versions is cast before the shuffle, the rest on the kept rows.
+    """
+    kept = ["violation_category", "violation_status", "bus_route_id", "stop_id", "stop_name"]
+    coordinates = [
+        "violation_latitude",
+        "violation_longitude",
+        "bus_stop_latitude",
+        "bus_stop_longitude",
+    ]
+    versions = safe_project(
+        raw.withColumnRenamed("violation_type", "violation_category"),
         {
             "violation_id": "violation_id",
             "first_occurrence": ("first_occurrence", "timestamp"),
             "last_occurrence": ("last_occurrence", "timestamp"),
-            "violation_category": "violation_type",
-            "violation_status": "violation_status",
-            "bus_route_id": "bus_route_id",
-            "stop_id": "stop_id",
-            "stop_name": "stop_name",
-            "violation_latitude": ("violation_latitude", "double"),
-            "violation_longitude": ("violation_longitude", "double"),
-            "bus_stop_latitude": ("bus_stop_latitude", "double"),
-            "bus_stop_longitude": ("bus_stop_longitude", "double"),
+            **{c: c for c in (*kept, *coordinates)},
         },
     )
-    valid = require(typed, ["violation_id", "first_occurrence", "bus_route_id"])
+    valid = require(versions, ["violation_id", "first_occurrence", "bus_route_id"])
     tiebreak = [c for c in valid.columns if c != "violation_id"]
     latest = dedup_latest(
         valid, ["violation_id"], F.coalesce("last_occurrence", "first_occurrence"), tiebreak
     )
-    # The rest depends on the kept row alone, so it need not travel through the shuffle.
-    return latest.select(
-        "*",
-        classify_prefix("bus_route_id", fv.ROUTE_PREFIX_BOROUGHS, fv.UNKNOWN_ROUTE_BOROUGH).alias("borough"),
-        F.lit(None).cast("string").alias("zip_code"),
-        F.lit(None).cast("string").alias("neighborhood"),
-        F.lit(None).cast("bigint").alias("council_district"),
+    borough = classify_prefix("bus_route_id", fv.ROUTE_PREFIX_BOROUGHS, fv.UNKNOWN_ROUTE_BOROUGH)
+    return safe_project(
+        latest,
+        {
+            **{c: c for c in ("violation_id", "first_occurrence", "last_occurrence", *kept)},
+            **{c: (c, "double") for c in coordinates},
+            "borough": borough,
+            "zip_code": F.lit(None).cast("string"),
+            "neighborhood": F.lit(None).cast("string"),
+            "council_district": F.lit(None).cast("bigint"),
+        },
     )
 
 
@@ -172,7 +193,7 @@ def fact_ace_violations(violations: DataFrame, dims: Mapping[str, DataFrame]) ->
 
 
 class Enforcement(Plan):
-    """The whole pipeline on two raw extracts."""
+    """The whole pipeline on ``source_nyc_311_traffic`` and ``source_mta_ace_violations``."""
 
     tables = [
         "stg_311",
@@ -191,11 +212,6 @@ class Enforcement(Plan):
         "fact_ace_violations": ("stg_ace", fact_ace_violations, list(VIOLATION_KEYS)),
     }
 
-    def __init__(self, raw_complaints: DataFrame, raw_violations: DataFrame, store: Store):
-        super().__init__(store)
-        self.raw_complaints = raw_complaints
-        self.raw_violations = raw_violations
-
     def layer(self, name: str) -> str:
         return "staging" if name.startswith("stg_") else "marts_core"
 
@@ -203,9 +219,9 @@ class Enforcement(Plan):
         t, store = self.table, self.store
         match name:
             case "stg_311":
-                return stg_311(self.raw_complaints)
+                return stg_311(t("source_nyc_311_traffic"))
             case "stg_ace":
-                return stg_ace(self.raw_violations)
+                return stg_ace(t("source_mta_ace_violations"))
             case "dim_date":
                 return hour_dim(store.spark)
             case "dim_location":

@@ -19,6 +19,7 @@ from curbstar.sources.schemas import (
 )
 
 DAYS_FORWARD = 9131
+DAY = 86_400
 
 BOROUGH_SPELLINGS = [
     "MANHATTAN",
@@ -59,17 +60,32 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The table, spread over all cores when its files give fewer tasks than that.
+
+    Deriving and staging the extracts costs far more than this; a large table stays as it is.
+    """
+    df, cores = read(spark, sf_dir, table), spark.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() < cores
+    return df.repartition(cores, df.columns[0]) if few else df
+
+
 def _pick(n: Column, values: list[str]) -> Column:
     """The n-th value; NULL past the end."""
     return F.get(F.array(*[F.lit(v) for v in values]), n.cast("int"))
 
 
-def _text(ts: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    return F.date_format(ts, pattern)
+def _text(ts: Column) -> Column:
+    """Date and time of day to the second."""
+    return F.substring(ts.cast("string"), 1, 19)
+
+
+def _iso(ts: Column) -> Column:
+    return F.concat(F.translate(_text(ts), " ", "T"), F.lit(".000"))
 
 
-def _later(ts: Column, unit: str, amount: Column) -> Column:
-    return F.timestamp_add(unit, amount.cast("int"), ts)
+def _moved(ts: Column, days: Column | int, seconds: Column | int = 0) -> Column:
+    return F.timestamp_add("SECOND", (days * F.lit(DAY) + seconds).cast("bigint"), ts)
 
 
 def _decimals(whole: str, n: Column) -> Column:
@@ -82,12 +98,12 @@ def _select(df: DataFrame, names: list[str], columns: dict[str, Column]) -> Data
 
 def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curb complaints from ``orders``: each is published open, then again with its outcome."""
-    orders = read(spark, sf_dir, "orders").withColumn("snapshot", F.explode(F.array(F.lit(1), F.lit(2))))
+    orders = _source(spark, sf_dir, "orders").withColumn("snapshot", F.explode(F.array(F.lit(1), F.lit(2))))
     key, cust, status = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     again = F.col("snapshot") == 2
-    start = _later(F.col("o_orderdate"), "DAY", F.lit(DAYS_FORWARD))
-    start = _later(_later(start, "HOUR", cust % 24), "SECOND", key % 3600)
-    end = _later(_later(start, "DAY", key % 9), "SECOND", cust % 86400)
+    clock = (cust % 24) * 3600 + key % 3600
+    start = _moved(F.col("o_orderdate"), F.lit(DAYS_FORWARD), clock)
+    end = _moved(F.col("o_orderdate"), key % 9 + DAYS_FORWARD, clock + cust % DAY)
     text = key.cast("string")
     return _select(
         orders,
@@ -129,17 +145,17 @@ def camera_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Camera violations from ``lineitem``, whose repeated line numbers act as republished ones."""
     key, part, supp, line = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     kind, state = F.col("l_returnflag"), F.col("l_linestatus")
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-    start = _later(F.col("l_shipdate"), "DAY", F.lit(DAYS_FORWARD))
-    start = _later(_later(start, "MINUTE", part % 1440), "SECOND", key % 60)
-    end = _later(start, "SECOND", F.col("l_quantity") * 37 - 60)
+    clock = (part % 1440) * 60 + key % 60
+    lasted = (F.col("l_quantity") * 37 - 60).cast("bigint")
+    start = _moved(F.col("l_shipdate"), F.lit(DAYS_FORWARD), clock)
+    end = _moved(F.col("l_shipdate"), F.lit(DAYS_FORWARD), clock + lasted)
     return _select(
-        read(spark, sf_dir, "lineitem"),
+        _source(spark, sf_dir, "lineitem"),
         CAMERA_VIOLATIONS,
         {
             "violation_id": F.when(part % 67 > 0, F.concat(F.lit("V"), key, F.lit("-"), line)),
-            "first_occurrence": F.when(supp % 61 == 0, F.lit("bad")).otherwise(_text(start, iso)),
-            "last_occurrence": F.when((kind != "R") | (state != "O"), _text(end, iso)),
+            "first_occurrence": F.when(supp % 61 == 0, F.lit("bad")).otherwise(_iso(start)),
+            "last_occurrence": F.when((kind != "R") | (state != "O"), _iso(end)),
             "violation_type": F.when(kind == "A", F.lit("MOBILE BUS STOP"))
             .when(kind == "N", F.lit("MOBILE BUS LANE"))
             .otherwise(F.lit("MOBILE DOUBLE PARKED")),
@@ -159,11 +175,11 @@ def camera_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def service_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Street requests from ``events``: each is published open, then again with its outcome."""
-    events = read(spark, sf_dir, "events").withColumn("snapshot", F.explode(F.array(F.lit(1), F.lit(2))))
+    events = _source(spark, sf_dir, "events").withColumn("snapshot", F.explode(F.array(F.lit(1), F.lit(2))))
     key, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
     done = (F.col("snapshot") == 2) & kind.isin("click", "purchase", "view")
-    start = _later(F.col("ts"), "DAY", -365 * (user % 10))
-    end = _later(start, "DAY", key % 40)
+    start = _moved(F.col("ts"), (user % 10) * -365)
+    end = _moved(F.col("ts"), (user % 10) * -365 + key % 40)
     columns = {
         "unique_key": F.when(user % 53 > 0, key),
         "created_date": F.when(user % 59 > 0, _text(start)),
@@ -202,8 +218,7 @@ def seating_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applications from ``orders``: every order of a customer resubmits the application."""
     key, cust, status = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     site = F.floor(cust / 3)
-    submitted = _later(F.col("o_orderdate"), "DAY", F.lit(DAYS_FORWARD))
-    submitted = _later(submitted, "SECOND", key % 86400)
+    submitted = _moved(F.col("o_orderdate"), F.lit(DAYS_FORWARD), key % DAY)
     answer = F.when(status == "F", F.lit("yes")).when(status == "O", F.lit("Yes"))
     half = F.concat(cust % 20, F.lit(".5"))
     columns = {
@@ -239,4 +254,4 @@ def seating_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = {
         c: F.concat(F.lit(c + " "), cust % 3) for c in SEATING_APPLICATIONS if c not in columns
     }
-    return _select(read(spark, sf_dir, "orders"), SEATING_APPLICATIONS, {**columns, **plain})
+    return _select(_source(spark, sf_dir, "orders"), SEATING_APPLICATIONS, {**columns, **plain})

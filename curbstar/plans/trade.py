@@ -210,7 +210,7 @@ class Trade(Plan):
     }
 
     def __init__(self, spark: SparkSession, sf_dir: str, store: Store | None = None):
-        super().__init__(store or Store.scratch(spark))
+        super().__init__(store or Store.scratch(spark), sources={})
         self.spark = spark
         self.sf_dir = sf_dir
 
