@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from curbstar import fixed_values as fv
 
 
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def hour_start(ts: Column | str) -> Column:
+    """Start of the hour; unlike ``date_trunc``, without a detour through the session zone."""
+    return F.timestamp_add("HOUR", F.hour(ts), F.to_date(ts).cast("timestamp_ntz"))
+
+
 def hour_key(ts: Column | str) -> Column:
     """Integer YYYYMMDDHH of a timestamp."""
     day = F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
@@ -47,8 +56,13 @@ def month_start(ts: Column | str) -> Column:
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """Whole minutes from start to end, truncated toward zero; negative when end comes first."""
-    return F.timestamp_diff("MINUTE", start, end).cast("bigint")
+    """Whole minutes from start to end, truncated toward zero; negative when end comes first.
+
+    Taken from the interval between them: ``timestamp_diff`` would go through the session zone.
+    """
+    lasted = _column(end) - _column(start)
+    days, hours, minutes = (F.extract(F.lit(part), lasted) for part in ("DAY", "HOUR", "MINUTE"))
+    return days.cast("bigint") * 1440 + hours.cast("bigint") * 60 + minutes.cast("bigint")
 
 
 def days_between(start: Column | str, end: Column | str) -> Column:

@@ -43,10 +43,7 @@ def hour_dim(
 
 def hour_dim_spanning(df: DataFrame, ts: str) -> DataFrame:
     """Hour-grain calendar from the first to the last observed hour."""
-    span = df.agg(
-        F.date_trunc("hour", F.min(ts)).cast("timestamp_ntz").alias("first"),
-        F.max(ts).alias("last"),
-    )
+    span = df.agg(cal.hour_start(F.min(ts)).alias("first"), F.max(ts).alias("last"))
     every_hour = F.sequence("first", "last", F.expr("INTERVAL 1 HOUR"))
     return hour_attributes(span.select(F.explode(every_hour).alias("full_datetime")))
 

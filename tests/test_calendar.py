@@ -34,6 +34,16 @@ def test_hour_dim_spanning(spark):
     assert sorted(r.date_key for r in hours.collect()) == [2024022822, 2024022823, 2024022900, 2024022901]
 
 
+def test_clock_changes_of_the_session_zone_do_not_matter(spark, conf):
+    """In this zone the hour from 02:00 does not exist on that day; the data's clock has it."""
+    conf("spark.sql.session.timeZone", "America/New_York")
+    rows = spark.sql("SELECT timestamp_ntz'2026-03-08 02:30:00' AS a, timestamp_ntz'2026-03-08 04:29:59' AS b")
+    assert rows.select(cal.minutes_between("a", "b"), cal.minutes_between("b", "a")).first()[:] == (119, -119)
+    assert [r.date_key for r in hour_dim_spanning(rows.select(F.col("a").alias("t")), "t").collect()] == [2026030802]
+    day = hour_dim(spark, "2026-03-08 00:00:00", 23)
+    assert day.select("hour").distinct().count() == 24 and day.filter("day_of_week = 'Sunday'").count() == 24
+
+
 def test_hour_key_is_stable_across_zones(spark, conf):
     conf("spark.sql.session.timeZone", "America/New_York")
     row = spark.sql("SELECT timestamp_ntz'2025-03-14 08:59:59' AS ts")

@@ -23,7 +23,7 @@ def test_read_raw(spark, extract, tmp_path, fmt):
     found = read_raw(spark, TABLE, path, fmt)
     assert found.columns == RAW_TABLES[TABLE]
     assert {t for _, t in found.dtypes} == {"string"}
-    assert sorted(found.collect()) == sorted(extract.collect()) if fmt != "csv" else found.count() == 2
+    assert sorted(found.collect(), key=str) == sorted(extract.collect(), key=str)
 
 
 def test_store_replaces_tables_in_folders(spark, tmp_path):
