@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from curbstar import fixed_values as fv
 
 _DATE_LIKE = r"^\d{4}-\d{1,2}-\d{1,2}"
+_LOCAL_TIME = _DATE_LIKE + r"([Tt ][0-9:.]*)?\s*$"
 _FLOAT_SUFFIX = r"[0-9.][dDfF]\s*$"
 
 
@@ -25,10 +26,8 @@ def safe_timestamp(c: Column | str) -> Column:
     c = _column(c)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     zoned = F.timestamp_add("MICROSECOND", F.unix_micros(c.try_cast("timestamp")), epoch)
-    # Cheap tests for an offset, a named zone or UTC; a minus sign counts behind the date only.
-    has_zone = c.contains("+") | c.contains("/") | (F.locate("-", c, 11) > 0) | c.endswith("Z") | c.endswith("UTC")
-    parsed = F.when(has_zone, zoned).otherwise(c.try_cast("timestamp_ntz"))
-    return F.when(c.rlike(_DATE_LIKE), parsed)
+    local = c.try_cast("timestamp_ntz")
+    return F.when(c.rlike(_LOCAL_TIME), local).when(c.rlike(_DATE_LIKE), zoned)
 
 
 def safe_cast(c: Column | str, to: str) -> Column:

@@ -19,18 +19,17 @@ FactBuilder = Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame]
 class Plan(ABC):
     """Tables are built on first use and written, so every reader sees the same rows.
 
-    ``sources`` are the raw extracts by name. With ``land`` they are written first too, which
-    pays off when reading them costs more than reading a written copy.
+    ``sources`` are the raw extracts by name.
     """
 
     tables: list[str]
     # Fact table: staging table, builder, dimensions.
     facts: Mapping[str, tuple[str, FactBuilder, list[str]]]
 
-    def __init__(self, store: Store, sources: Mapping[str, DataFrame], land: bool = False):
+    def __init__(self, store: Store, sources: Mapping[str, DataFrame]):
         self.store = store
         self.sources = sources
-        self._built: dict[str, DataFrame] = {} if land else dict(sources)
+        self._built: dict[str, DataFrame] = dict(sources)
         self._locks = {name: RLock() for name in (*sources, *self.tables)}
 
     @abstractmethod
@@ -43,24 +42,26 @@ class Plan(ABC):
 
     def plan(self, name: str) -> DataFrame:
         """The table as a plan over its written inputs, itself not written."""
-        if name in self.sources:
-            return self.sources[name]
         return self.fact(name, *self.facts[name][2]) if name in self.facts else self.plan_other(name)
 
     def fact(self, name: str, *dims: str) -> DataFrame:
-        """The written fact; before it is written, a plan of it with these dimensions' keys only."""
+        """The written fact; before it is written, a plan of it with these dimensions' keys only.
+
+        Without dimensions nothing else reads the staged rows, so they are not written either.
+        """
         if name in self._built:
             return self._built[name]
         staged, builder, _ = self.facts[name]
+        if not dims:
+            return builder(self._built.get(staged) or self.plan(staged), {})
         rows, *found = self.together(staged, *dims)
         return builder(rows, dict(zip(dims, found)))
 
     def table(self, name: str) -> DataFrame:
-        """The written table."""
+        """The written table, or the raw extract of that name."""
         with self._locks[name]:
             if name not in self._built:
-                layer = "raw" if name in self.sources else self.layer(name)
-                self._built[name] = self.store.table(layer, name, self.plan(name))
+                self._built[name] = self.store.table(self.layer(name), name, self.plan(name))
             return self._built[name]
 
     def together(self, *names: str) -> list[DataFrame]:

@@ -395,7 +395,7 @@ def enforcement_plan(spark: SparkSession, sf: str) -> enforcement.Enforcement:
         "source_nyc_311_traffic": raw_feeds.complaints(spark, sf),
         "source_mta_ace_violations": raw_feeds.camera_violations(spark, sf),
     }
-    return enforcement.Enforcement(Store.scratch(spark), feeds, land=True)
+    return enforcement.Enforcement(Store.scratch(spark), feeds)
 
 
 def applications_plan(spark: SparkSession, sf: str) -> applications.Applications:
@@ -403,7 +403,7 @@ def applications_plan(spark: SparkSession, sf: str) -> applications.Applications
         "source_dot_service_requests_history": raw_feeds.service_requests(spark, sf),
         "source_nyc_open_restaurant_apps": raw_feeds.seating_applications(spark, sf),
     }
-    plan = applications.Applications(Store.scratch(spark), feeds, land=True)
+    plan = applications.Applications(Store.scratch(spark), feeds)
     plan.as_of = AS_OF
     return plan
 
@@ -438,9 +438,7 @@ def enforcement_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_checks(spark: SparkSession, sf: str) -> DataFrame:
-    plan = applications_plan(spark, sf)
-    extracts = dict(zip(plan.sources, plan.together(*plan.sources)))
-    return run_checks(extracts, applications.SOURCE_CHECKS)
+    return run_checks(applications_plan(spark, sf).sources, applications.SOURCE_CHECKS)
 
 
 def plain(df: DataFrame) -> DataFrame:

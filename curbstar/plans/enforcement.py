@@ -238,12 +238,12 @@ class Enforcement(Plan):
 
     def series(self, dim: str, key: str, *lookups: str) -> list[Series]:
         """Both facts, for counting through ``dim``; ``lookups`` are the keys that this takes."""
-        self.together("stg_311", "stg_ace", dim)
+        through = self.table(dim)
         violations = self.fact("fact_ace_violations", *lookups)
         complaints = self.fact("fact_311_complaints", *lookups)
         return [
-            Series(fv.CAMERA_SERIES, violations, self.table(dim), key),
-            Series(fv.COMPLAINT_SERIES, complaints, self.table(dim), key),
+            Series(fv.CAMERA_SERIES, violations, through, key),
+            Series(fv.COMPLAINT_SERIES, complaints, through, key),
         ]
 
     def by_location(self, *attributes: str) -> DataFrame:

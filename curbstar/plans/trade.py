@@ -275,12 +275,9 @@ class Trade(Plan):
 
     def series(self, dim: str, key: str, *lookups: str) -> list[Series]:
         """Both facts, for counting through ``dim``; ``lookups`` are the keys that this takes."""
-        self.together("stg_orders", "stg_shipments", dim)
+        through = self.table(dim)
         orders, shipments = self.fact("fact_orders", *lookups), self.fact("fact_shipments", *lookups)
-        return [
-            Series("Orders", orders, self.table(dim), key),
-            Series("Shipments", shipments, self.table(dim), key),
-        ]
+        return [Series("Orders", orders, through, key), Series("Shipments", shipments, through, key)]
 
 
 NOT_NULL_CHECKS = [
