@@ -76,20 +76,23 @@ def lookup_fk(
     ``small`` skips the measuring. A large dimension is joined by a shuffle in which hot keys and
     keys that cannot match are spread by a hash of ``spread_by`` (default: the whole fact row).
     """
-    name = lookup.name or lookup.key
-    pairs = _key_pairs(lookup)
-    dim = lookup.dim.select(
-        *[d.alias(f"_d{i}") for i, (d, _, _) in enumerate(pairs)], F.col(lookup.key).alias(name)
-    )
-    keyed = fact.withColumns({f"_f{i}": f for i, (_, f, _) in enumerate(pairs)})
-    tolerant = [t for _, _, t in pairs]
-    if small is None:
-        small = measured_bytes([dim])[0] <= BROADCAST_BYTES
-    if small:
-        found = keyed.join(F.broadcast(dim), _condition(tolerant, "_f", "_d"), "left")
-    else:
-        found = _spread_join(keyed, dim, tolerant, name, spread_by or fact.columns, hot_rows)
-    return found.select(*fact.columns, name)
+    taken = {lookup.name or lookup.key: lookup.key}
+    return _attach(fact, lookup.dim, _key_pairs(lookup), taken, "left", small, spread_by, hot_rows)
+
+
+def lookup_columns(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Mapping[str, str | Column],
+    columns: Sequence[str],
+    small: bool | None = None,
+    spread_by: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``fact`` rows with a match in ``dim``, plus some of its columns; joined as in lookup_fk."""
+    pairs = _key_pairs(Lookup(dim, "", on))
+    taken = {c: c for c in columns}
+    return _attach(fact, dim, pairs, taken, "inner", small, spread_by, hot_rows)
 
 
 def lookup_role(
@@ -124,6 +127,34 @@ def build_fact(
     return staged.select(*columns)
 
 
+def _attach(
+    fact: DataFrame,
+    dim: DataFrame,
+    pairs: Sequence[tuple[Column, Column, bool]],
+    taken: Mapping[str, str],
+    how: str,
+    small: bool | None,
+    spread_by: Sequence[str],
+    hot_rows: int,
+) -> DataFrame:
+    """``fact`` with the ``taken`` columns of ``dim``, under their new names."""
+    right = dim.select(
+        *[d.alias(f"_d{i}") for i, (d, _, _) in enumerate(pairs)],
+        *[F.col(c).alias(name) for name, c in taken.items()],
+    )
+    left = fact.withColumns({f"_f{i}": f for i, (_, f, _) in enumerate(pairs)})
+    tolerant = [t for _, _, t in pairs]
+    if small is None:
+        small = measured_bytes([right])[0] <= BROADCAST_BYTES
+    if small:
+        found = left.join(F.broadcast(right), _condition(tolerant, "_f", "_d"), how)
+    else:
+        found = _spread_join(left, right, tolerant, list(taken), spread_by or fact.columns, hot_rows)
+        if how == "inner":
+            found = found.filter(F.col("_matched"))
+    return found.select(*fact.columns, *taken)
+
+
 def _key_pairs(lookup: Lookup) -> list[tuple[Column, Column, bool]]:
     """(dimension column, fact column, NULL matches NULL) per natural key."""
     pairs = []
@@ -150,13 +181,13 @@ def _spread_join(
     keyed: DataFrame,
     dim: DataFrame,
     tolerant: Sequence[bool],
-    name: str,
+    taken: Sequence[str],
     spread_by: Sequence[str],
     hot_rows: int,
 ) -> DataFrame:
     """Left join to a large dimension that no hot key can slow down.
 
-    The hottest keys (HOT_KEYS at most, so safe to broadcast) get their dimension key up front.
+    The hottest keys (HOT_KEYS at most, so safe to broadcast) get their dimension row up front.
     Their rows, and rows whose key cannot match, then enter the shuffle with a piece number that
     no dimension row carries, which spreads them evenly. All other rows carry piece -1, like the
     dimension, and match as usual. Which keys count as hot never changes the result.
@@ -171,8 +202,12 @@ def _spread_join(
         .limit(HOT_KEYS)
         .select(*[F.col(f"_f{i}").alias(f"_h{i}") for i in range(n)])
     )
-    hot = hot_keys.join(dim, _condition(tolerant, "_h", "_d"), "left").select(
-        *[f"_h{i}" for i in range(n)], F.col(name).alias("_hot_key"), F.lit(True).alias("_hot")
+    # Always -1, but computed: the optimizer would drop a literal from the shuffle keys.
+    marked = dim.withColumn("_dim_piece", F.pmod(F.xxhash64("_d0"), F.lit(1)).cast("int") - 1)
+    hot = hot_keys.join(marked, _condition(tolerant, "_h", "_d"), "left").select(
+        *[f"_h{i}" for i in range(n)],
+        *[F.col(c).alias(f"_hot_{c}") for c in taken],
+        F.col("_dim_piece").isNotNull().alias("_hot_matched"),
     )
     # NULL keys of the hot list must find themselves, whatever the lookup's own NULL rule.
     with_hot = keyed.join(F.broadcast(hot), _condition([True] * n, "_f", "_h"), "left")
@@ -181,13 +216,13 @@ def _spread_join(
     for i, null_safe in enumerate(tolerant):
         if not null_safe:
             unmatchable = unmatchable | F.col(f"_f{i}").isNull()
+    apart = F.col("_hot_matched").isNotNull() | unmatchable
     piece = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
-    pieced = with_hot.withColumn(
-        "_piece", F.when(F.col("_hot").isNotNull() | unmatchable, piece).otherwise(F.lit(-1))
-    )
-    # Always -1, but computed: the optimizer would drop a literal from the shuffle keys.
-    cold = dim.withColumn("_dim_piece", F.pmod(F.xxhash64(name), F.lit(1)).cast("int") - 1)
-    found = pieced.join(
-        cold, _condition(tolerant, "_f", "_d") & (F.col("_piece") == F.col("_dim_piece")), "left"
+    pieced = with_hot.withColumn("_piece", F.when(apart, piece).otherwise(F.lit(-1)))
+    same_piece = F.col("_piece") == F.col("_dim_piece")
+    found = pieced.join(marked, _condition(tolerant, "_f", "_d") & same_piece, "left")
+    return found.select(
+        *[c for c in pieced.columns if not c.startswith("_hot_")],
+        *[F.coalesce(F.col(f"_hot_{c}"), F.col(c)).alias(c) for c in taken],
+        F.coalesce(F.col("_hot_matched"), F.col("_dim_piece").isNotNull()).alias("_matched"),
     )
-    return found.withColumn(name, F.coalesce("_hot_key", name))

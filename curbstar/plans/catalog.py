@@ -127,21 +127,16 @@ def dedup_latest_simple(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_latest(events, ["user_id"], F.col("ts"), ["event_id"])
 
 
-def _located_customers(spark: SparkSession, sf: str) -> DataFrame:
-    nations = trade.regions(spark, sf)
-    return read(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-
-
 def prefix_classify_nation(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("c_mktsegment") != "BUILDING", F.lower("n_name")).otherwise(F.col("c_mktsegment"))
-    return _located_customers(spark, sf).select(
+    return trade.located(spark, sf, "customer", "c_nationkey").select(
         "c_custkey", classify_prefix(text, NATION_PREFIXES, "UNKNOWN").alias("nation_group")
     )
 
 
 def standardize_region(spark: SparkSession, sf: str) -> DataFrame:
     padded = F.concat(F.lit(" "), F.lower("r_name"), F.lit("\t"))
-    return _located_customers(spark, sf).select(
+    return trade.located(spark, sf, "customer", "c_nationkey").select(
         "c_custkey", standardize(padded, REGION_SYNONYMS, "UNKNOWN").alias("region")
     )
 
@@ -308,8 +303,7 @@ def duration_minutes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def days_to_close(spark: SparkSession, sf: str) -> DataFrame:
-    t = trade.Trade(spark, sf)
-    requests = trade.stg_requests(t.plan("stg_shipments"), t.plan("stg_orders"))
+    requests = trade.Trade(spark, sf).plan("stg_requests")
     return requests.select("request_id", cal.days_between("created_at", "closed_at").alias("days_to_close"))
 
 

@@ -23,7 +23,14 @@ from curbstar.operators.dims import (
     representative,
     sequence_key,
 )
-from curbstar.operators.lookup import Lookup, build_fact, lookup_role, natural, star_lookups
+from curbstar.operators.lookup import (
+    Lookup,
+    build_fact,
+    lookup_columns,
+    lookup_role,
+    natural,
+    star_lookups,
+)
 from curbstar.operators.quality import Accepted, NotNull, Related, Unique
 from curbstar.operators.reports import Series
 from curbstar.plans.base import Plan
@@ -55,11 +62,19 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
 
 
+def located(spark: SparkSession, sf_dir: str, table: str, nation_key: str) -> DataFrame:
+    """Customers or suppliers with their nation and region."""
+    nations = regions(spark, sf_dir)
+    return read(spark, sf_dir, table).join(nations, F.col(nation_key) == F.col("n_nationkey"))
+
+
 def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = (
-        read(spark, sf_dir, "orders")
-        .join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    placed = lookup_columns(
+        read(spark, sf_dir, "orders"),
+        located(spark, sf_dir, "customer", "c_nationkey"),
+        {"c_custkey": "o_custkey"},
+        ["c_mktsegment", "n_nationkey", "n_name", "r_name"],
+        spread_by=["o_orderkey"],
     )
     return placed.select(
         F.col("o_orderkey").alias("order_id"),
@@ -87,10 +102,13 @@ def latest_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def stg_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "l_orderkey l_linenumber l_shipdate l_partkey l_suppkey l_quantity l_returnflag l_linestatus"
-    lines = latest_lineitem(read(spark, sf_dir, "lineitem").select(*columns.split()))
-    shipped = lines.join(
-        read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
-    ).join(regions(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
+    shipped = lookup_columns(
+        latest_lineitem(read(spark, sf_dir, "lineitem").select(*columns.split())),
+        located(spark, sf_dir, "supplier", "s_nationkey"),
+        {"s_suppkey": "l_suppkey"},
+        ["r_name"],
+        spread_by=["l_orderkey", "l_linenumber"],
+    )
     return shipped.select(
         F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("shipment_id"),
         F.col("l_orderkey").alias("order_id"),
@@ -109,8 +127,14 @@ def stg_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_requests(shipments: DataFrame, orders: DataFrame) -> DataFrame:
     """Shipments as requests: opened by the order, closed by shipping where the order is final."""
-    opened = orders.select("order_id", "created_at", "status", "priority", "zip_code")
-    return shipments.drop("zip_code").join(opened, "order_id").select(
+    requests = lookup_columns(
+        shipments.select("shipment_id", "order_id", "shipped_at", "borough"),
+        orders,
+        natural("order_id"),
+        ["created_at", "status", "priority", "zip_code"],
+        spread_by=["shipment_id"],
+    )
+    return requests.select(
         F.col("shipment_id").alias("request_id"),
         "created_at",
         F.when(F.col("status") == "F", F.col("shipped_at")).alias("closed_at"),

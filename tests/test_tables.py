@@ -14,7 +14,14 @@ from curbstar.operators.dims import (
     representative,
     sequence_key,
 )
-from curbstar.operators.lookup import Lookup, build_fact, lookup_fk, measured_bytes, natural
+from curbstar.operators.lookup import (
+    Lookup,
+    build_fact,
+    lookup_columns,
+    lookup_fk,
+    measured_bytes,
+    natural,
+)
 from curbstar.operators.project import require, safe_project, strict_project
 
 
@@ -131,6 +138,16 @@ def test_large_lookup_spreads_hot_and_null_keys(spark, conf):
     assert max(per_task) < n / 16 * 2
 
 
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("hot_rows", [1, 2, 1_000_000])
+def test_lookup_columns_is_an_inner_join(spark, small, hot_rows):
+    fact = spark.createDataFrame([(1, 5), (2, 5), (3, 6), (4, None), (5, 9)], "id int, k int")
+    dim = spark.createDataFrame([(5, None, "five"), (6, 60, "six"), (7, 70, "seven")], "k int, n int, name string")
+    found = lookup_columns(fact, dim, natural("k"), ["n", "name"], small, hot_rows=hot_rows)
+    assert found.columns == ["id", "k", "n", "name"]
+    assert sorted(map(tuple, found.collect())) == [(1, 5, None, "five"), (2, 5, None, "five"), (3, 6, 60, "six")]
+
+
 def test_measured_bytes_decides(spark, star):
     fact, dim = star
     assert measured_bytes([dim, dim.select("key"), dim.limit(0)]) == [4 * 48 + 5, 4 * 16, 0]
