@@ -60,7 +60,8 @@ SELECT l_orderkey || '-' || l_linenumber AS shipment_id, l_orderkey AS order_id,
   l_quantity AS quantity, upper(r_name) AS borough, CAST(NULL AS VARCHAR) AS zip_code,
   CAST(NULL AS VARCHAR) AS neighborhood, CAST(NULL AS BIGINT) AS council_district
 FROM (SELECT DISTINCT ON (l_orderkey, l_linenumber) * FROM lineitem
-      ORDER BY l_orderkey, l_linenumber, l_shipdate DESC, l_partkey, l_suppkey)
+      ORDER BY l_orderkey, l_linenumber, l_shipdate DESC, l_partkey, l_suppkey, l_quantity, l_returnflag,
+        l_linestatus)
 JOIN supplier ON l_suppkey = s_suppkey JOIN nations ON s_nationkey = n_nationkey"""
 
 TABLES["stg_requests"] = """

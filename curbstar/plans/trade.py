@@ -91,13 +91,10 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_lineitem(lineitem: DataFrame) -> DataFrame:
-    """The latest version of every order line."""
-    return dedup_latest(
-        lineitem,
-        ["l_orderkey", "l_linenumber"],
-        F.col("l_shipdate"),
-        ["l_partkey", "l_suppkey"],
-    )
+    """The latest version of every order line; all other columns, in order, settle ties."""
+    keys = ["l_orderkey", "l_linenumber"]
+    tiebreak = [c for c in lineitem.columns if c not in (*keys, "l_shipdate")]
+    return dedup_latest(lineitem, keys, F.col("l_shipdate"), tiebreak)
 
 
 def stg_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
