@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbstar.sources.store import Store
+
 # A dimension is broadcast when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Beyond it, a key with at least HOT_ROWS fact rows is looked up apart (at most HOT_KEYS of them),
 # and its rows are spread over SPREAD pieces instead of meeting in one task.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-SPREAD = 4_096
+HOT_KEYS = 100_000
+SPREAD = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -190,24 +192,26 @@ def _spread_join(
     The hottest keys (HOT_KEYS at most, so safe to broadcast) get their dimension row up front.
     Their rows, and rows whose key cannot match, then enter the shuffle with a piece number that
     no dimension row carries, which spreads them evenly. All other rows carry piece -1, like the
-    dimension, and match as usual. Which keys count as hot never changes the result.
+    dimension, and match as usual. Which keys count as hot never changes the result, but all
+    readers must agree on them, so they are written.
     """
     n = len(tolerant)
-    fact_keys = [f"_f{i}" for i in range(n)]
-    hot_keys = (
-        keyed.groupBy(*fact_keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") >= hot_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(HOT_KEYS)
-        .select(*[F.col(f"_f{i}").alias(f"_h{i}") for i in range(n)])
+    counted = keyed.groupBy(*[F.col(f"_f{i}").alias(f"_h{i}") for i in range(n)]).agg(
+        F.count("*").alias("_rows")
     )
+    hottest = counted.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
+    hot_keys = Store.scratch(keyed.sparkSession).table("lookups", "hot_keys", hottest.drop("_rows"))
     # Always -1, but computed: the optimizer would drop a literal from the shuffle keys.
     marked = dim.withColumn("_dim_piece", F.pmod(F.xxhash64("_d0"), F.lit(1)).cast("int") - 1)
-    hot = hot_keys.join(marked, _condition(tolerant, "_h", "_d"), "left").select(
-        *[f"_h{i}" for i in range(n)],
+    matched = marked.join(F.broadcast(hot_keys), _condition(tolerant, "_h", "_d")).select(
+        *[F.col(f"_h{i}").alias(f"_m{i}") for i in range(n)],
         *[F.col(c).alias(f"_hot_{c}") for c in taken],
-        F.col("_dim_piece").isNotNull().alias("_hot_matched"),
+        F.lit(True).alias("_hot_found"),
+    )
+    hot = hot_keys.join(matched, _condition([True] * n, "_h", "_m"), "left").select(
+        *hot_keys.columns,
+        *[f"_hot_{c}" for c in taken],
+        F.col("_hot_found").isNotNull().alias("_hot_matched"),
     )
     # NULL keys of the hot list must find themselves, whatever the lookup's own NULL rule.
     with_hot = keyed.join(F.broadcast(hot), _condition([True] * n, "_f", "_h"), "left")
