@@ -38,6 +38,15 @@ class Lookup:
     null_as: Mapping[str, str] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class Hot:
+    """How to find hot keys (where, from how many rows on) and what to spread their rows by."""
+
+    counted_in: DataFrame
+    rows: int
+    spread_by: tuple[str, ...]
+
+
 def natural(*cols: str) -> dict[str, str]:
     """``on`` for columns that have the same name on both sides."""
     return {c: c for c in cols}
@@ -60,7 +69,9 @@ def measured_bytes(frames: Sequence[DataFrame]) -> list[int]:
 def _row_bytes(df: DataFrame) -> Column:
     width = F.lit(16 * len(df.columns)).cast("bigint")
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
     return width
 
@@ -70,16 +81,19 @@ def lookup_fk(
     lookup: Lookup,
     small: bool | None = None,
     spread_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``fact`` plus the dimension's key (NULL where nothing matches); no fact row is lost.
 
     The dimension should be a written table: it is measured first, and broadcast only when small.
     ``small`` skips the measuring. A large dimension is joined by a shuffle in which hot keys and
     keys that cannot match are spread by a hash of ``spread_by`` (default: the whole fact row).
+    Hot keys are counted in ``hot_from``, a cheaper table with the fact's key columns, if given.
     """
     taken = {lookup.name or lookup.key: lookup.key}
-    return _attach(fact, lookup.dim, _key_pairs(lookup), taken, "left", small, spread_by, hot_rows)
+    hot = Hot(hot_from or fact, hot_rows or HOT_ROWS, tuple(spread_by or fact.columns))
+    return _attach(fact, lookup.dim, _key_pairs(lookup), taken, "left", small, hot)
 
 
 def lookup_columns(
@@ -89,12 +103,13 @@ def lookup_columns(
     columns: Sequence[str],
     small: bool | None = None,
     spread_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``fact`` rows with a match in ``dim``, plus some of its columns; joined as in lookup_fk."""
     pairs = _key_pairs(Lookup(dim, "", on))
-    taken = {c: c for c in columns}
-    return _attach(fact, dim, pairs, taken, "inner", small, spread_by, hot_rows)
+    hot = Hot(hot_from or fact, hot_rows or HOT_ROWS, tuple(spread_by or fact.columns))
+    return _attach(fact, dim, pairs, {c: c for c in columns}, "inner", small, hot)
 
 
 def lookup_role(
@@ -102,10 +117,11 @@ def lookup_role(
 ) -> DataFrame:
     """Several date keys from one day-grain dimension: ``{timestamp column: key name}``."""
     small = measured_bytes([date_dim.select("full_date", key)])[0] <= BROADCAST_BYTES
+    found = fact
     for ts, name in roles.items():
         role = Lookup(date_dim, key, {"full_date": F.to_date(ts)}, name)
-        fact = lookup_fk(fact, role, small=small)
-    return fact
+        found = lookup_fk(found, role, small, hot_from=fact)
+    return found
 
 
 def star_lookups(
@@ -124,9 +140,10 @@ def build_fact(
 ) -> DataFrame:
     """Staged rows, every foreign key, then the fact's columns."""
     sizes = measured_bytes([lookup.dim.select(lookup.key, *lookup.on) for lookup in lookups])
+    fact = staged
     for lookup, size in zip(lookups, sizes):
-        staged = lookup_fk(staged, lookup, small=size <= BROADCAST_BYTES)
-    return staged.select(*columns)
+        fact = lookup_fk(fact, lookup, size <= BROADCAST_BYTES, hot_from=staged)
+    return fact.select(*columns)
 
 
 def _attach(
@@ -136,22 +153,23 @@ def _attach(
     taken: Mapping[str, str],
     how: str,
     small: bool | None,
-    spread_by: Sequence[str],
-    hot_rows: int,
+    hot: Hot,
 ) -> DataFrame:
     """``fact`` with the ``taken`` columns of ``dim``, under their new names."""
     right = dim.select(
         *[d.alias(f"_d{i}") for i, (d, _, _) in enumerate(pairs)],
         *[F.col(c).alias(name) for name, c in taken.items()],
     )
-    left = fact.withColumns({f"_f{i}": f for i, (_, f, _) in enumerate(pairs)})
+    keys = {f"_f{i}": f for i, (_, f, _) in enumerate(pairs)}
+    left = fact.withColumns(keys)
     tolerant = [t for _, _, t in pairs]
     if small is None:
         small = measured_bytes([right])[0] <= BROADCAST_BYTES
     if small:
         found = left.join(F.broadcast(right), _condition(tolerant, "_f", "_d"), how)
     else:
-        found = _spread_join(left, right, tolerant, list(taken), spread_by or fact.columns, hot_rows)
+        hot_keys = _hot_keys(hot, keys)
+        found = _spread_join(left, right, tolerant, list(taken), hot_keys, hot.spread_by)
         if how == "inner":
             found = found.filter(F.col("_matched"))
     return found.select(*fact.columns, *taken)
@@ -179,28 +197,34 @@ def _condition(tolerant: Sequence[bool], left: str, right: str) -> Column:
     return reduce(Column.__and__, tests)
 
 
+def _hot_keys(hot: Hot, keys: Mapping[str, Column]) -> DataFrame:
+    """The hottest keys: HOT_KEYS at most, so safe to broadcast.
+
+    Which keys count as hot never changes a result, but all readers must agree on them, so they
+    are written.
+    """
+    named = [key.alias(f"_h{i}") for i, key in enumerate(keys.values())]
+    counted = hot.counted_in.groupBy(*named).agg(F.count("*").alias("_rows"))
+    hottest = counted.filter(F.col("_rows") >= hot.rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
+    store = Store.scratch(hot.counted_in.sparkSession)
+    return store.table("lookups", "hot_keys", hottest.drop("_rows"))
+
+
 def _spread_join(
     keyed: DataFrame,
     dim: DataFrame,
     tolerant: Sequence[bool],
     taken: Sequence[str],
+    hot_keys: DataFrame,
     spread_by: Sequence[str],
-    hot_rows: int,
 ) -> DataFrame:
     """Left join to a large dimension that no hot key can slow down.
 
-    The hottest keys (HOT_KEYS at most, so safe to broadcast) get their dimension row up front.
-    Their rows, and rows whose key cannot match, then enter the shuffle with a piece number that
-    no dimension row carries, which spreads them evenly. All other rows carry piece -1, like the
-    dimension, and match as usual. Which keys count as hot never changes the result, but all
-    readers must agree on them, so they are written.
+    Hot keys get their dimension row up front. Their rows, and rows whose key cannot match, then
+    enter the shuffle with a piece number that no dimension row carries, which spreads them
+    evenly. All other rows carry piece -1, like the dimension, and match as usual.
     """
     n = len(tolerant)
-    counted = keyed.groupBy(*[F.col(f"_f{i}").alias(f"_h{i}") for i in range(n)]).agg(
-        F.count("*").alias("_rows")
-    )
-    hottest = counted.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
-    hot_keys = Store.scratch(keyed.sparkSession).table("lookups", "hot_keys", hottest.drop("_rows"))
     # Always -1, but computed: the optimizer would drop a literal from the shuffle keys.
     marked = dim.withColumn("_dim_piece", F.pmod(F.xxhash64("_d0"), F.lit(1)).cast("int") - 1)
     matched = marked.join(F.broadcast(hot_keys), _condition(tolerant, "_h", "_d")).select(

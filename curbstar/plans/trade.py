@@ -99,12 +99,14 @@ def latest_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def stg_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "l_orderkey l_linenumber l_shipdate l_partkey l_suppkey l_quantity l_returnflag l_linestatus"
+    lines = read(spark, sf_dir, "lineitem").select(*columns.split())
     shipped = lookup_columns(
-        latest_lineitem(read(spark, sf_dir, "lineitem").select(*columns.split())),
+        latest_lineitem(lines),
         located(spark, sf_dir, "supplier", "s_nationkey"),
         {"s_suppkey": "l_suppkey"},
         ["r_name"],
         spread_by=["l_orderkey", "l_linenumber"],
+        hot_from=lines,
     )
     return shipped.select(
         F.concat(F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("shipment_id"),

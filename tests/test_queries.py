@@ -6,6 +6,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from curbstar.operators import lookup
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 duckdb = pytest.importorskip("duckdb")
@@ -80,6 +81,21 @@ def test_result_does_not_depend_on_partitions_or_zone(spark, conf, name):
     assert spark_rows(QUERIES[name](spark, SF_DIR), columns) == before
 
 
+LOOKUPS = ["fact_orders", "fact_requests", "q5_type_share", "role_playing_dates", "model_fact_ace_violations"]
+
+
+@pytest.mark.parametrize("name", LOOKUPS)
+def test_large_dimensions_give_the_same_result(spark, monkeypatch, name):
+    """With no room to broadcast, every lookup takes the shuffle route with its hot keys apart."""
+    columns = sorted(QUERIES[name](spark, SF_DIR).columns)
+    before = spark_rows(QUERIES[name](spark, SF_DIR), columns)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(lookup, "HOT_ROWS", 40)
+    df = QUERIES[name](spark, SF_DIR)
+    assert "_piece" in df._jdf.queryExecution().executedPlan().toString()
+    assert spark_rows(df, columns) == before
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = QUERIES["or_like_filter"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_type:string>" in plan
