@@ -63,7 +63,7 @@ def _search_block(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: n
                 windows.append(edges(FIRST_WIDTH * WIDEN ** len(windows)))
             low, size = windows[step]
             inside = (places - low[q][:, None]) <= size[q][:, None]
-            close = np.flatnonzero(inside.sum(axis=0, dtype=np.uint8) >= need)
+            close = np.flatnonzero(inside.view(np.uint8).sum(axis=0, dtype=np.uint8) >= need)
             if len(close) >= wanted:
                 break
             step += 1

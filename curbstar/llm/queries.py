@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbstar.llm import minhash
-from curbstar.llm.common import read
+from curbstar.llm import html, language, minhash, mixing, neighbours, packing, repeats, toxicity
+from curbstar.llm.common import crc_of, read
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,4 +23,52 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_minhash_dedup": op1_minhash_dedup}
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed_digest(read(spark, sf_dir, "documents"), least=400)
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract_main_text(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), crc_of() % 3 == 1
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.with_scores(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read(spark, sf_dir, "documents"), crc_of() % 4 == 2
+    found = language.identify(docs, language.fit(docs, ~held_out), ["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_toxicity": op6_toxicity,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_language_id": op8_language_id,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_best_fit_packing": op10_best_fit_packing,
+}
