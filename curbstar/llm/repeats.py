@@ -119,8 +119,12 @@ def _anchors(least: int):
 
 
 def _suffixes(text: np.ndarray) -> np.ndarray:
-    """Order of all suffixes, by doubling: first by 7 bytes, then by the ranks of two halves."""
+    """Order of all suffixes, by doubling: first by 7 bytes, then by the ranks of two halves.
+
+    All separators count as one number here.
+    """
     size = len(text)
+    text = np.minimum(text, 256)
     rank = np.zeros(size, np.int64)
     for k in range(7):
         rank <<= 9
@@ -404,6 +408,8 @@ def without_repeats(docs: DataFrame, least: int = 200, least_words: int = 50) ->
     Passages are found as strings of ``least`` bytes; a removed stretch covers whole characters.
     """
 
+    columns = docs.columns
+
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
@@ -419,6 +425,6 @@ def without_repeats(docs: DataFrame, least: int = 200, least_words: int = 50) ->
                     text = b"".join(p.decode(errors="ignore").encode() for p in kept).decode()
                 texts.append(text)
             at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "text", pa.array(texts, pa.string())).select(docs.columns)
+            yield batch.set_column(at, "text", pa.array(texts, pa.string())).select(columns)
 
     return with_spans(docs, least).mapInArrow(clean, docs.schema)
