@@ -5,14 +5,15 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from curbstar.operators import lookup
+from curbstar.plans.catalog import QUERIES
+from curbstar.plans.oracle import SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no trade tables")
 
-QUERIES, SQL = queries(), oracle_sql()
 DUCKDB_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
