@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbstar.llm import html, language, minhash, mixing, neighbours, packing, repeats, toxicity
+from curbstar.llm import (
+    fingerprint, html, language, minhash, mixing, neighbours, packing, repeats, resampling, toxicity,
+)
 from curbstar.llm.common import crc_of, read
 
 
@@ -27,6 +29,14 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removed_digest(read(spark, sf_dir, "documents"), least=400)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edits(read(spark, sf_dir, "documents"))
+
+
+def op4_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html.extract_main_text(read(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -65,6 +75,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_quality_resampling": op4_quality_resampling,
     "op5_html_extraction": op5_html_extraction,
     "op6_toxicity": op6_toxicity,
     "op7_source_mixing": op7_source_mixing,
