@@ -34,13 +34,13 @@ from curbstar.llm.components import components
 SIDE, ROWS = 8, 2
 #: One-bit minhashes that reject dissimilar candidates before any text is moved: of every text, and
 #: of texts that still meet others after the first round.
-SKETCH_BITS, WIDE_BITS = 64, 1024
+SKETCH_BITS, WIDE_BITS = 64, 4096
 #: Members of one table key that are held against each other in one task.
 CHUNK_ROWS = 2048
 
 _BLEND, _SCALE = random_words(21, 2 * SIDE * ROWS), random_words(22, 2 * SIDE * ROWS, odd=True)
 _BLEND_BITS, _SCALE_BITS = random_words(23, WIDE_BITS), random_words(24, WIDE_BITS, odd=True)
-_CHUNK = 1 << 9
+_CHUNK = 1 << 8
 
 _SIGNATURE = (
     "doc_id long, row_key long, n_shingles long, h1 long, h2 long, "
@@ -146,17 +146,16 @@ def _confirm(words: int, percent: int):
     return confirm
 
 
-def _with_text(rows: DataFrame, texts: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-    """Add the text of the node in column ``name`` as ``<name>_text``."""
-    where = nodes.select(F.col("node").alias(name), F.col("doc_id").alias("d"), "row_key")
-    text = texts.toDF("doc", "key", f"{name}_text")
-    same = F.col("d").eqNullSafe(F.col("doc")) & (F.col("row_key") == F.col("key"))
-    return rows.join(where, name).join(text, same).drop("d", "row_key", "doc", "key")
+def _texts_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, text`` of the given nodes."""
+    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("row_key"))
+    found = nodes.select("node", F.col("doc_id").alias("d"), F.col("row_key").alias("k"))
+    return found.join(texts, same).select("node", "text").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int, percent: int):
+def _confirmed(pairs: DataFrame, met_texts: DataFrame, words: int, percent: int):
     """The pairs ``a, b`` whose full shingle sets are similar enough."""
-    both = _with_text(_with_text(pairs, texts, nodes, "a"), texts, nodes, "b")
+    both = pairs.join(met_texts.toDF("a", "a_text"), "a").join(met_texts.toDF("b", "b_text"), "b")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(
         _confirm(words, percent), "a long, b long"
     )
@@ -206,10 +205,15 @@ def near_duplicates(
 
     weight = met.groupBy("node").agg(F.sum("members").alias("weight"))
     slim = scratch.write(
-        "slim", nodes.join(weight, "node").select("node", "weight", "n_shingles", "sketch")
+        "slim",
+        nodes.join(weight, "node").select(
+            "node", "doc_id", "row_key", "weight", "n_shingles", "sketch"
+        ),
     )
+    # all texts move once; what follows reads only those that share a table
+    met_texts = scratch.write("texts", _texts_of(slim, texts))
     centres = (
-        met.join(slim, "node")
+        met.join(slim.select("node", "weight", "n_shingles", "sketch"), "node")
         .groupBy("key")
         .agg(F.max(F.struct("weight", -F.col("node"), "n_shingles", "sketch")).alias("c"))
         .select("key", (-F.col("c.col2")).alias("b"), "c.weight", "c.n_shingles", "c.sketch")
@@ -232,7 +236,7 @@ def near_duplicates(
             F.explode(F.array_distinct(F.array("central", "nearest"))).alias("b"),
         )
     )
-    links = scratch.write("links-1", _confirmed(starred, texts, nodes, words, percent))
+    links = scratch.write("links-1", _confirmed(starred, met_texts, words, percent))
     roots = scratch.write("roots-1", components(links, scratch, "stars"))
 
     placed = met.join(roots, "node", "left").select(
@@ -250,12 +254,9 @@ def near_duplicates(
         "open",
         placed.join(mixed, "key").withColumn("outside", F.col("root") != F.col("main")).drop("main"),
     )
-    wide = _with_text(open_rows.select("node").distinct(), texts, nodes, "node").dropDuplicates(
-        ["node"]
-    )
     wide = scratch.write(
         "wide",
-        wide.select("node", F.col("node_text").alias("text")).mapInArrow(
+        met_texts.join(open_rows.select("node").distinct(), "node").mapInArrow(
             _wide_sketches(words), "node long, wide binary"
         ),
     )
@@ -267,7 +268,7 @@ def near_duplicates(
         .sortWithinPartitions("block")
         .mapInArrow(_cross(percent), "a long, b long")
     )
-    more = _confirmed(crossed, texts, nodes, words, percent)
+    more = _confirmed(crossed, met_texts, words, percent)
     links = scratch.write("links-2", links.unionByName(more))
     roots = scratch.write("roots-2", components(links, scratch, "all"))
 

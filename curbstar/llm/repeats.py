@@ -12,7 +12,8 @@ A string of ``least`` bytes counts as repeated where it starts at two places, in
   these samples; everywhere between, the matching statistic of the next byte is one less. Streaming
   both directions over the text gives each byte's longest match with any other suffix.
 * Anchors with very many contexts, such as a line that a third of all texts hold, would make an
-  index without bound; their windows are counted by digest instead, which is just as exact.
+  index without bound. Their contexts are split by anchors almost as wide as a window, counted as
+  above, and the windows of what still differs are counted by digest, which is just as exact.
 
 Defined results: a null text is empty; texts shorter than ``least`` have nothing to match; matches
 never cross texts; repeated rows repeat each other in full; rows that share an id are told apart by
@@ -43,12 +44,11 @@ def anchor_width(least: int) -> int:
     return max(8, least // 3)
 
 
-def contexts_of(data: np.ndarray, offsets: np.ndarray, least: int):
+def contexts_of(data: np.ndarray, offsets: np.ndarray, least: int, width: int):
     """Anchor hash, text, first window and end of the last window of every context of a batch.
 
     The texts lie one after the other; windows that cross a boundary are left out.
     """
-    width = anchor_width(least)
     if len(data) < least:
         none = np.zeros(0, np.int64)
         return none.view(np.uint64), none, none, none
@@ -96,7 +96,7 @@ def _anchors(least: int):
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for low, part, marks, shift in _pieces(data, offsets, least):
-                hashes, text, start, end = contexts_of(part, marks, least)
+                hashes, text, start, end = contexts_of(part, marks, least, anchor_width(least))
                 raw = memoryview(part.tobytes())
                 digests = [
                     xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())
@@ -238,25 +238,77 @@ def _index(least: int):
     return index
 
 
-def _window_digests(least: int):
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts_of_contexts(least: int):
+    """Split contexts by wide anchors; each part carries the digests of its windows."""
+    width = least - max(1, least // 20)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start, contexts = batch.column("start").to_pylist(), batch.column("context").to_pylist()
-            for row, (at, context) in enumerate(zip(start, contexts)):
-                data = np.frombuffer(context, np.uint8)
-                count = len(data) - least + 1
-                one = _ANCHOR.windows(_ANCHOR.sums(data), least).view(np.int64)
-                two = _WINDOW.windows(_WINDOW.sums(data), least).view(np.int64)
-                rows = pa.array(np.full(count, row))
+            data, offsets = utf8(batch.column("context"))
+            for low, part, marks, shift in _pieces(data, offsets, least):
+                hashes, text, start, end = contexts_of(part, marks, least, width)
+                raw = memoryview(part.tobytes())
+                digest = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start, end)]
+                counts = end - start - least + 1
+                cuts = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                at = np.repeat(start - np.asarray(cuts)[:-1], counts) + np.arange(counts.sum())
+                windows = [
+                    pa.ListArray.from_arrays(
+                        cuts, pa.array(h.spans(h.sums(part), at, at + least).view(np.int64))
+                    )
+                    for h in (_ANCHOR, _WINDOW)
+                ]
+                rows = pa.array(text + low)
+                first = batch.column("start").take(rows).to_numpy() + start - marks[text] + shift
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(rows), batch.column("row_key").take(rows),
-                     pa.array(one), pa.array(two),
-                     pa.array((at + np.arange(count)).astype(np.int32)),
-                     pa.array(np.full(count, bool(batch.column("single")[row].as_py())))],
-                    ["doc_id", "row_key", "one", "two", "start", "single"],
+                    [
+                        *(batch.column(c).take(rows) for c in ("doc_id", "row_key", "single")),
+                        pa.array(hashes.view(np.int64)),
+                        pa.array(np.array(digest, np.uint64).view(np.int64)),
+                        pa.array(first.astype(np.int32)), *windows,
+                    ],
+                    ["doc_id", "row_key", "single", "anchor", "h", "start", "one", "two"],
                 )
 
-    return digests
+    return parts
+
+
+def _counted(cut: DataFrame, least: int, scratch: Scratch) -> DataFrame:
+    """Repeated windows of contexts whose anchor has too many for an index."""
+    parts = scratch.write(
+        "parts",
+        cut.mapInArrow(
+            _parts_of_contexts(least),
+            "doc_id long, row_key long, single boolean, anchor long, h long, start int, "
+            "one array<long>, two array<long>",
+        ),
+    )
+    kinds = parts.groupBy("anchor", "h").agg(
+        F.count("*").alias("times"), F.first(F.struct("one", "two")).alias("windows")
+    )
+    kinds = scratch.write("part-kinds", kinds)
+    open_groups = (
+        kinds.groupBy("anchor")
+        .agg(F.count("*").alias("members"), F.min("times").alias("least"))
+        .where("members > 1 and least = 1")
+        .select("anchor")
+    )
+    windows = kinds.join(open_groups, "anchor").select(
+        "anchor", "h", "times",
+        F.posexplode(F.arrays_zip("windows.one", "windows.two")).alias("at", "w"),
+    ).select("anchor", "h", "times", "at", "w.one", "w.two")
+    common = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select(
+        "one", "two"
+    )
+    lone = windows.where("times = 1").join(common, ["one", "two"]).select("anchor", "h", "at")
+    singles = parts.where("single")
+    some = singles.join(lone, ["anchor", "h"]).select(
+        "doc_id", "row_key", (F.col("start") + F.col("at")).alias("start")
+    ).withColumn("end", F.col("start") + least)
+    whole = singles.join(kinds.where("times > 1").select("anchor", "h"), ["anchor", "h"]).select(
+        "doc_id", "row_key", "start", (F.col("start") + F.size("one") + least - 1).alias("end")
+    )
+    return whole.unionByName(some)
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,15 +382,7 @@ def repeated_spans(docs: DataFrame, least: int = 400) -> DataFrame:
         .select("anchor", "doc_id", "row_key", "start", "end", "single", "context")
         .mapInArrow(_index(least), span)
     )
-    windows = cut.where(F.col("members") > GROUP_CONTEXTS).mapInArrow(
-        _window_digests(least),
-        "doc_id long, row_key long, one long, two long, start int, single boolean",
-    )
-    windows = scratch.write("windows", windows)
-    common = windows.groupBy("one", "two").agg(F.count("*").alias("times")).where("times > 1")
-    counted = windows.where("single").join(common, ["one", "two"]).select(
-        "doc_id", "row_key", "start", (F.col("start") + least).cast("int").alias("end")
-    )
+    counted = _counted(cut.where(F.col("members") > GROUP_CONTEXTS), least, scratch)
     several = kinds.where("times > 1").select("anchor", "h1", "h2")
     whole = found.join(several, ["anchor", "h1", "h2"]).select(
         "doc_id", "row_key", "start", "end"
