@@ -21,16 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbstar.llm.common import RollingHash, mix, passes, utf8, word_bounds
+from curbstar.llm.common import PASS_BYTES, RollingHash, passes, utf8, word_bounds
 
 BUCKETS, DIMENSIONS = 1 << 21, 8
 NGRAMS = (3, 4, 5, 6, 7, 8)
 WINDOW_WORDS = 2
 #: Labelled texts of each kind that training takes, by hash of the id.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 2000
 #: Texts that must hold a bucket before it is learnt; how strongly pooling prefers the worst window.
 LEAST_TEXTS, SHARPNESS = 6, 1.0
-STEPS, RATE, DECAY = 40, 0.1, 1e-7
+STEPS, RATE, DECAY = 50, 0.1, 1e-7
 THRESHOLD = 0.7
 
 _HASH = RollingHash(31)
@@ -39,32 +39,53 @@ _LETTER[ord("A") : ord("Z") + 1] += 32
 _LETTER[[c for c in range(128) if not chr(c).isalnum()]] = 0x20
 
 
-def _features(texts: list[bytes]):
-    """Bucket of each feature, the word each belongs to, and each text's first word."""
-    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
-    data = _LETTER[data]
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    marks = np.concatenate([[1], 1 + np.cumsum(sizes)])
+def _tokens(texts: list[bytes]):
+    """The texts in lower case with single bytes as edges; starts and ends of words; each text's
+    first word (and the end of the last)."""
+    data = _LETTER[np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)]
+    marks = np.cumsum([1] + [len(t) + 1 for t in texts])
     marks[-1] = len(data)
     starts, ends, _ = word_bounds(data, np.array([0, len(data)]))
-    firsts = np.searchsorted(starts, marks)
+    return data, starts, ends, np.searchsorted(starts, marks)
+
+
+def _features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    """Bucket of each feature, and the word each belongs to."""
     sums = _HASH.sums(data)
     shift = np.uint64(64 - BUCKETS.bit_length() + 1)
-    apart = data == 0x20
-    before = np.concatenate([[0], np.cumsum(apart)])
+    before = np.concatenate([[0], np.cumsum(data == 0x20)])
     buckets, places = [], []
     for n in NGRAMS:
         at = np.arange(max(0, len(data) - n + 1))
         # only the first and the last byte may be an edge of the word
-        inner = before[at + n - 1] == before[at + 1]
-        at = at[inner]
+        at = at[before[at + n - 1] == before[at + 1]]
         buckets.append((_HASH.spans(sums, at, at + n) + np.uint64(n)) >> shift)
         places.append(at + 1)
     buckets.append(_HASH.spans(sums, starts, ends) >> shift)
     places.append(starts)
-    places = np.concatenate(places)
-    word = np.searchsorted(starts, places, "right") - 1
-    return np.concatenate(buckets).astype(np.int64), word, firsts, len(starts)
+    word = np.searchsorted(starts, np.concatenate(places), "right") - 1
+    return np.concatenate(buckets).astype(np.int64), word
+
+
+def _kinds(texts: list[bytes]):
+    """Distinct words, the kind of every word, and each text's first word."""
+    hashes, samples, firsts = [], {}, [0]
+    low = 0
+    while low < len(texts):
+        high, size = low, 0
+        while high < len(texts) and (high == low or size + len(texts[high]) <= PASS_BYTES):
+            size += len(texts[high])
+            high += 1
+        data, starts, ends, first = _tokens(texts[low:high])
+        found = _HASH.spans(_HASH.sums(data), starts, ends)
+        for h, at in zip(*(x.tolist() for x in np.unique(found, return_index=True))):
+            if h not in samples:
+                samples[h] = data[starts[at] : ends[at]].tobytes()
+        hashes.append(found)
+        firsts += [f + firsts[low] for f in first[1:].tolist()]
+        low = high
+    kinds, kind = np.unique(np.concatenate(hashes), return_inverse=True)
+    return [samples[h] for h in kinds.tolist()], kind, np.array(firsts)
 
 
 def _windows(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,9 +104,11 @@ class Model:
         self.weights, self.offset = weights, offset
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        buckets, word, firsts, words = _features(texts)
+        data, word_starts, ends, firsts = _tokens(texts)
+        words = len(word_starts)
         margins = np.full(len(texts), self.offset)
         if words:
+            buckets, word = _features(data, word_starts, ends)
             totals = np.bincount(word, self.weights[buckets], words)
             value = totals / np.bincount(word, minlength=words)
             starts, first_window = _windows(firsts)
@@ -105,23 +128,20 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
 
     With two classes the loss depends on the softmax's columns by their difference only. The
     gradient of a text goes to its windows by their softmax, so it finds the toxic window. Buckets
-    that fewer than ``LEAST_TEXTS`` texts hold stay out.
+    that fewer than ``LEAST_TEXTS`` texts hold, counted word by word, stay out.
     """
     generator = np.random.Generator(np.random.PCG64(41))
-    buckets, word, firsts, words = _features(texts)
-    text_of_word = np.repeat(np.arange(len(texts)), np.diff(firsts))
-    held = np.unique(text_of_word[word] * BUCKETS + buckets) % BUCKETS
-    common = np.bincount(held, minlength=BUCKETS) >= LEAST_TEXTS
-    sizes_of_words = np.bincount(word, minlength=words)
-    word, buckets = word[common[buckets]], buckets[common[buckets]]
     # equal words share their features: work on kinds of words
-    code = np.bincount(word, mix(buckets.astype(np.uint64)) >> np.uint64(16), words)
-    _, sample, kind = np.unique(code, return_index=True, return_inverse=True)
-    first_of = np.full(len(sample), -1)
-    first_of[kind[sample]] = sample
-    chosen = first_of[kind[word]] == word
-    used, flat = np.unique(buckets[chosen], return_inverse=True)
-    of_kind, lengths = kind[word[chosen]], sizes_of_words[sample]
+    kinds, kind, firsts = _kinds(texts)
+    data, starts, ends, _ = _tokens([b" ".join(kinds)])
+    buckets, of_kind = _features(data, starts, ends)
+    text_of_word = np.repeat(np.arange(len(texts)), np.diff(firsts))
+    met = np.unique(text_of_word * len(kinds) + kind) % len(kinds)
+    texts_of_kind = np.bincount(met, minlength=len(kinds))
+    lengths = np.bincount(of_kind, minlength=len(kinds))
+    common = np.bincount(buckets, texts_of_kind[of_kind], BUCKETS) >= LEAST_TEXTS
+    of_kind, buckets = of_kind[common[buckets]], buckets[common[buckets]]
+    used, flat = np.unique(buckets, return_inverse=True)
     starts, first_window = _windows(firsts)
     sizes = np.diff(np.append(starts, firsts[-1]))
     window_of_word = np.repeat(np.arange(len(starts)), sizes)
@@ -133,7 +153,7 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
     column, offset = generator.normal(0, 1, DIMENSIONS), np.zeros(1)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (table, column, offset)]
     for step in range(1, STEPS + 1):
-        value = np.bincount(of_kind, (table @ column)[flat], len(sample)) / lengths
+        value = np.bincount(of_kind, (table @ column)[flat], len(kinds)) / lengths
         margin = np.bincount(window_of_word, value[kind], len(starts)) / sizes + offset[0]
         worst = np.maximum.reduceat(margin, cuts_text)
         pull = np.exp(SHARPNESS * (margin - worst[text_of_window]))
@@ -141,7 +161,7 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
         pooled = np.add.reduceat(pull * margin, cuts_text)
         error = (1 / (1 + np.exp(-np.clip(pooled, -60, 60))) - truth) * share
         slope = error[text_of_window] * pull
-        to_kind = np.bincount(kind, (slope / sizes)[window_of_word], len(sample)) / lengths
+        to_kind = np.bincount(kind, (slope / sizes)[window_of_word], len(kinds)) / lengths
         to_bucket = np.bincount(flat, to_kind[of_kind], len(used))
         gradients = (
             np.outer(to_bucket, column) + DECAY * table,
