@@ -1,6 +1,6 @@
 """Toxicity of texts: subword-bag embeddings averaged into a linear softmax.
 
-A word is the bag of its character n-grams (bytes 3 to 8, with its edges) and itself, hashed into one
+A word is the bag of its character n-grams (of 4, 6 and 8 bytes, with its edges) and itself, hashed into one
 embedding table, so an unseen misspelling shares vectors with the words it resembles. Words are
 averaged over windows of a few words, each window goes through a linear softmax, and a text is as
 toxic as its worst window. Embeddings and softmax are trained jointly in numpy, on the driver, on a
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from curbstar.llm.common import PASS_BYTES, RollingHash, passes, utf8, word_bounds
 
 BUCKETS, DIMENSIONS = 1 << 21, 8
-NGRAMS = (3, 4, 5, 6, 7, 8)
+NGRAMS = (4, 6, 8)
 WINDOW_WORDS = 2
 #: Labelled texts of each kind that training takes, by hash of the id.
 SAMPLE_ROWS = 2000
@@ -32,6 +32,8 @@ SAMPLE_ROWS = 2000
 LEAST_TEXTS, SHARPNESS = 6, 1.0
 STEPS, RATE, DECAY = 50, 0.1, 1e-7
 THRESHOLD = 0.7
+#: Words whose features training holds at a time.
+PART_KINDS = 20_000
 
 _HASH = RollingHash(31)
 _LETTER = np.arange(256, dtype=np.uint8)
@@ -88,6 +90,13 @@ def _kinds(texts: list[bytes]):
     return [samples[h] for h in kinds.tolist()], kind, np.array(firsts)
 
 
+def _features_by_part(kinds: list[bytes]):
+    """Features of a bounded number of words at a time: number of the first, buckets, words."""
+    for low in range(0, len(kinds), PART_KINDS):
+        data, starts, ends, _ = _tokens([b" ".join(kinds[low : low + PART_KINDS])])
+        yield low, *_features(data, starts, ends)
+
+
 def _windows(firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First word of every window, and first window of every text; an empty text has none."""
     counts = -(-np.diff(firsts) // WINDOW_WORDS)
@@ -133,15 +142,21 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
     generator = np.random.Generator(np.random.PCG64(41))
     # equal words share their features: work on kinds of words
     kinds, kind, firsts = _kinds(texts)
-    data, starts, ends, _ = _tokens([b" ".join(kinds)])
-    buckets, of_kind = _features(data, starts, ends)
     text_of_word = np.repeat(np.arange(len(texts)), np.diff(firsts))
     met = np.unique(text_of_word * len(kinds) + kind) % len(kinds)
     texts_of_kind = np.bincount(met, minlength=len(kinds))
-    lengths = np.bincount(of_kind, minlength=len(kinds))
-    common = np.bincount(buckets, texts_of_kind[of_kind], BUCKETS) >= LEAST_TEXTS
-    of_kind, buckets = of_kind[common[buckets]], buckets[common[buckets]]
-    used, flat = np.unique(buckets, return_inverse=True)
+    lengths, holders = np.zeros(len(kinds)), np.zeros(BUCKETS)
+    for low, buckets, of_kind in _features_by_part(kinds):
+        lengths[low : low + PART_KINDS] = np.bincount(of_kind)
+        holders += np.bincount(buckets, texts_of_kind[low + of_kind], BUCKETS)
+    used = np.flatnonzero(holders >= LEAST_TEXTS)
+    number = np.full(BUCKETS, -1, np.int32)
+    number[used] = np.arange(len(used), dtype=np.int32)
+    parts = []
+    for low, buckets, of_kind in _features_by_part(kinds):
+        common = number[buckets] >= 0
+        parts.append((number[buckets[common]], (low + of_kind[common]).astype(np.int32)))
+    flat, of_kind = (np.concatenate(x) for x in zip(*parts))
     starts, first_window = _windows(firsts)
     sizes = np.diff(np.append(starts, firsts[-1]))
     window_of_word = np.repeat(np.arange(len(starts)), sizes)
