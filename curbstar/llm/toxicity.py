@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from curbstar.llm.common import PASS_BYTES, RollingHash, passes, utf8, word_bounds
 
-BUCKETS, DIMENSIONS = 1 << 21, 8
+BUCKETS, DIMENSIONS = 1 << 21, 4
 NGRAMS = (4, 6, 8)
 WINDOW_WORDS = 2
 #: Labelled texts of each kind that training takes, by hash of the id.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 1500
 #: Texts that must hold a bucket before it is learnt; how strongly pooling prefers the worst window.
 LEAST_TEXTS, SHARPNESS = 6, 1.0
 STEPS, RATE, DECAY = 50, 0.1, 1e-7
@@ -204,19 +204,26 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None) ->
         .groupBy(F.col("doc_id").alias("_doc"))
         .agg(F.max("toxic").cast("int").alias("label"))
     )
-    known = docs.select("doc_id", "text")
+    known = docs.where("text is not null")
     known = known if may_learn is None else known.where(may_learn)
-    known = known.join(marked, F.col("doc_id") == F.col("_doc")).where("text is not null")
-    texts, truth, weights = [], [], []
+    known = known.select(F.col("doc_id").alias("_id"), F.xxhash64("doc_id", "text").alias("_h"))
+    known = known.join(marked, F.col("_id") == F.col("_doc"))
     counts = dict(known.groupBy("label").count().collect())
+    texts, truth, weights = [], [], []
     for label in (0, 1):
+        # ids first, so that only the sample's texts reach the driver
+        sample = known.where(F.col("label") == label).orderBy("_h", "_id").limit(SAMPLE_ROWS)
+        keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_key"))
         rows = (
-            known.where(F.col("label") == label)
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-            .limit(SAMPLE_ROWS)
-            .select("text")
+            keyed.join(
+                F.broadcast(sample.select("_id", "_h").distinct()),  # at most SAMPLE_ROWS rows
+                (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_h")),
+            )
+            .dropDuplicates(["doc_id", "_key"])
+            .select("_key", "text")
             .collect()
         )
+        rows.sort()
         texts += [r.text.encode() for r in rows]
         truth += [label] * len(rows)
         weights += [counts.get(label, 0) / len(rows) if rows else 0.0] * len(rows)
