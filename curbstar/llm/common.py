@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from curbstar.session import scratch_root
 
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
-PASS_BYTES = 1 << 21
+PASS_BYTES = 1 << 19
 
 
 class Scratch:
