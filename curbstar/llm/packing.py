@@ -66,16 +66,27 @@ class WordIds:
         return b"".join(map(self.young.__getitem__, words))
 
 
+_WORD_IDS: dict[str, WordIds] = {}
+
+
+def _word_ids(path: str) -> WordIds:
+    """One tokenizer with its recent words per worker process."""
+    if path not in _WORD_IDS:
+        _WORD_IDS[path] = WordIds(path)
+    return _WORD_IDS[path]
+
+
 def _cut(path: str, length: int):
     end = array("I", [END_TOKEN]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(path)
+        ids = _word_ids(path)
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             docs = batch.column("doc_id")
             for low, high, part, marks in passes(data, offsets):
-                raw = part.tobytes()
+                # the tokenizer puts words in lower case as well
+                raw = part.tobytes().lower()
                 texts = [raw[a:b].split() for a, b in zip(marks[:-1].tolist(), marks[1:].tolist())]
                 ids.learn([w for words in texts for w in words])
                 rows: list[tuple[int, int, int, int, int]] = []
