@@ -14,6 +14,8 @@ class Store:
     """Tables by layer: a folder per layer under ``root``, or a catalog database per layer."""
 
     def __init__(self, spark: SparkSession, root: str | None = None, catalog: bool = False):
+        if root is None and not catalog:
+            raise ValueError("a store needs a folder or the catalog")
         self.spark = spark
         self.root = root
         self.catalog = catalog
