@@ -52,7 +52,8 @@ def standard_borough(c: str) -> Column:
 
 def stg_nyc_311_dot(raw: DataFrame, as_of: date | None = None) -> DataFrame:
     """Recent street requests, the latest version of each; malformed values fail the job."""
-    today = F.current_date() if as_of is None else F.lit(as_of)
+    now = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    today = F.to_date(now) if as_of is None else F.lit(as_of)
     street = (F.col("agency") == fv.REQUEST_AGENCY) | F.col("agency_name").contains(
         fv.REQUEST_AGENCY_NAME_PART
     )
