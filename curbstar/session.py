@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +38,13 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curbstar-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+def new_scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder in the shared scratch space, removed when the session's JVM ends."""
+    folder = f"{scratch_root(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder

@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbstar.sources.schemas import RAW_TABLES, all_text
 
 
-def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """One raw extract as an all-text DataFrame, from files of any format Spark reads."""
+def read_raw(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    fmt: str = "parquet",
+    extra: Sequence[str] = (),
+    **options,
+) -> DataFrame:
+    """One raw extract as an all-text DataFrame, from files of any format Spark reads.
+
+    Columns beyond the declared ones come along. JSON files do not list their columns, so there
+    ``extra`` names those wanted, which spares a pass over the data.
+    """
     reader = spark.read.format(fmt).options(**options)
     if fmt == "json":
-        reader = reader.schema(all_text(RAW_TABLES[table]))
+        reader = reader.schema(all_text([*RAW_TABLES[table], *extra]))
     elif fmt == "csv":
         # Names come from the header line: a schema would go by position instead.
         reader = reader.option("header", True)
@@ -25,5 +38,7 @@ def read_raw_table(spark: SparkSession, table: str, database: str) -> DataFrame:
 
 
 def as_text(df: DataFrame, table: str) -> DataFrame:
-    """The extract's columns, each as text."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in RAW_TABLES[table]])
+    """The extract's declared columns, then all others, each as text."""
+    declared = RAW_TABLES[table]
+    others = [c for c in df.columns if c.lower() not in {d.lower() for d in declared}]
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in (*declared, *others)])

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbstar.session import scratch_root
+from curbstar.session import new_scratch
 
 
 class Store:
@@ -22,8 +21,12 @@ class Store:
 
     @classmethod
     def scratch(cls, spark: SparkSession) -> Store:
-        """A new private folder in the shared scratch space."""
-        return cls(spark, f"{scratch_root(spark).rstrip('/')}/tables-{uuid.uuid4().hex}")
+        """A new private folder in the shared scratch space, removed with the session."""
+        return cls(spark, new_scratch(spark, "tables"))
+
+    def helper(self) -> Store:
+        """For tables that only help to build others: never in the user's catalog or folder."""
+        return Store.scratch(self.spark)
 
     def table(
         self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = ()
@@ -40,6 +43,12 @@ class Store:
         writer.save(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def read(self, layer: str, name: str) -> DataFrame:
+        """A table written earlier, by any session."""
+        if self.catalog:
+            return self.spark.table(f"{layer}.{name}")
+        return self.spark.read.parquet(f"{self.root}/{layer}/{name}")
+
     def view(self, name: str, df: DataFrame) -> DataFrame:
         """Publish ``df`` as a view; nothing is computed."""
         df.createOrReplaceTempView(name)

@@ -45,7 +45,19 @@ def test_store_in_the_catalog(spark):
 
 def test_read_raw_table(spark, extract):
     Store(spark, catalog=True).table("raw_db", TABLE, extract.withColumn("extra", F.lit(1)))
-    assert read_raw_table(spark, TABLE, "raw_db").columns == RAW_TABLES[TABLE]
+    found = read_raw_table(spark, TABLE, "raw_db")
+    assert found.columns == [*RAW_TABLES[TABLE], "extra"]
+    assert dict(found.dtypes)["extra"] == "string"
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json", "csv", "orc"])
+def test_undeclared_columns_come_along(spark, extract, tmp_path, fmt):
+    path = str(tmp_path / fmt)
+    writer = extract.withColumn("more", F.lit(7)).write
+    (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)
+    found = read_raw(spark, TABLE, path, fmt, extra=["more"])
+    assert found.columns == [*RAW_TABLES[TABLE], "more"]
+    assert {r.more for r in found.collect()} == {"7"}
 
 
 def test_scratch_comes_from_the_session(spark):
