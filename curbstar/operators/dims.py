@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,9 +44,10 @@ def hour_dim(
 
 def hour_dim_spanning(df: DataFrame, ts: str) -> DataFrame:
     """Hour-grain calendar from the first to the last observed hour."""
-    span = df.agg(cal.hour_start(F.min(ts)).alias("first"), F.max(ts).alias("last"))
-    every_hour = F.sequence("first", "last", F.expr("INTERVAL 1 HOUR"))
-    return hour_attributes(span.select(F.explode(every_hour).alias("full_datetime")))
+    first, last = df.agg(cal.hour_start(F.min(ts)), F.max(ts)).first()
+    if first is None:
+        return hour_dim(df.sparkSession, n_hours=-1)
+    return hour_dim(df.sparkSession, str(first), (last - first) // timedelta(hours=1))
 
 
 def date_dim_from(
@@ -104,16 +106,14 @@ def sequence_key(df: DataFrame, order: Sequence[str], name: str, store: Store) -
     The rows are range-partitioned and sorted by ``order``, then written with their position
     inside the range. Adding the sizes of the earlier ranges turns positions into row numbers.
     The ranges come from a sample, so they are written before they are counted: a second
-    evaluation could cut them elsewhere.
+    evaluation could cut them elsewhere, and each call writes a folder of its own.
     """
     position = F.monotonically_increasing_id()
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = store.table("keys", name, ranged.withColumn("_position", position))
+    placed = store.helper().table("keys", name, ranged.withColumn("_position", position))
     in_range = F.col("_position").bitwiseAND((1 << 33) - 1)
     ranges = F.shiftright("_position", 33)
 
-    if len(placed.inputFiles()) <= 1:
-        return placed.select((in_range + 1).alias(name), *df.columns)
     # One row per range; the number of ranges is the number of write tasks.
     sizes = placed.groupBy(ranges.alias("_range")).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
