@@ -323,15 +323,15 @@ class Applications(Plan):
             case "test_311_sample":
                 return sample(self.table("source_dot_service_requests_history"))
             case "dim_date_assignment":
-                return dim_date(*self.together(requests, applications))
+                return dim_date(*self.staged(requests, applications))
             case "dim_location_assignment":
-                return dim_location(*self.together(requests, applications))
+                return dim_location(*self.staged(requests, applications))
             case "dim_complaint_type":
-                return dim_complaint_type(self.table(requests))
+                return dim_complaint_type(*self.staged(requests))
             case "dim_restaurant":
-                return dim_restaurant(self.table(applications))
+                return dim_restaurant(*self.staged(applications))
             case "dim_seating_type":
-                return dim_seating_type(self.table(applications))
+                return dim_seating_type(*self.staged(applications))
         raise KeyError(name)
 
 

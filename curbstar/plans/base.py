@@ -1,4 +1,4 @@
-"""A plan: named tables that build on each other, each written once."""
+"""A plan: named tables that build on each other."""
 
 from __future__ import annotations
 
@@ -17,9 +17,11 @@ FactBuilder = Callable[[DataFrame, Mapping[str, DataFrame]], DataFrame]
 
 
 class Plan(ABC):
-    """Tables are built on first use and written, so every reader sees the same rows.
+    """Tables are built on first use; dimensions and facts are written.
 
-    ``sources`` are the raw extracts by name.
+    Staging tables are written where all their columns are read: in ``build`` and for a whole fact.
+    A single dimension or a report reads few of their columns, so it is planned straight from the
+    extracts. ``sources`` are the raw extracts by name.
     """
 
     tables: list[str]
@@ -32,6 +34,16 @@ class Plan(ABC):
         self._built: dict[str, DataFrame] = dict(sources)
         self._locks = {name: RLock() for name in (*sources, *self.tables)}
 
+    @classmethod
+    def open(cls, store: Store) -> Plan:
+        """The plan over a warehouse that is built already: its reports read the finished marts."""
+        plan = cls(store, {})
+        staging = {staged for staged, _, _ in cls.facts.values()}
+        for name in cls.tables:
+            if name not in staging:
+                plan._built[name] = store.read(plan.layer(name), name)
+        return plan
+
     @abstractmethod
     def plan_other(self, name: str) -> DataFrame:
         """A table that is not a fact, as a plan over its written inputs."""
@@ -41,21 +53,24 @@ class Plan(ABC):
         """The layer that the table belongs to."""
 
     def plan(self, name: str) -> DataFrame:
-        """The table as a plan over its written inputs, itself not written."""
+        """The table as a plan, itself not written."""
         return self.fact(name, *self.facts[name][2]) if name in self.facts else self.plan_other(name)
 
     def fact(self, name: str, *dims: str) -> DataFrame:
         """The written fact; before it is written, a plan of it with these dimensions' keys only.
 
-        Without dimensions nothing else reads the staged rows, so they are not written either.
+        The staged rows are written only where the fact takes all its keys.
         """
         if name in self._built:
             return self._built[name]
-        staged, builder, _ = self.facts[name]
-        if not dims:
-            return builder(self._built.get(staged) or self.plan(staged), {})
-        rows, *found = self.together(staged, *dims)
-        return builder(rows, dict(zip(dims, found)))
+        staged, builder, every = self.facts[name]
+        whole = set(dims) >= set(every)
+        rows = self.table(staged) if whole else self.staged(staged)[0]
+        return builder(rows, dict(zip(dims, self.together(*dims))))
+
+    def staged(self, *names: str) -> list[DataFrame]:
+        """Staging tables as written, or as plans where they are not."""
+        return [self._built[name] if name in self._built else self.plan(name) for name in names]
 
     def table(self, name: str) -> DataFrame:
         """The written table, or the raw extract of that name."""
@@ -70,5 +85,6 @@ class Plan(ABC):
             return list(pool.map(self.table, names))
 
     def build(self) -> dict[str, DataFrame]:
-        """Build and write all tables."""
+        """Build and write all tables, staging first."""
+        self.together(*{staged for staged, _, _ in self.facts.values()})
         return dict(zip(self.tables, self.together(*self.tables)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +24,15 @@ from curbstar.functions.clean import (
 )
 from curbstar.functions.keys import hash_fk, hash_key
 from curbstar.operators.dedup import dedup_latest
-from curbstar.operators.dims import distinct_dim, grouped_dim, hour_dim_spanning
+from curbstar.operators.dims import distinct_dim, grouped_dim, hour_dim_spanning, representative
 from curbstar.operators.lookup import Lookup, build_fact, lookup_fk, lookup_role, natural
 from curbstar.operators.project import require, safe_project, strict_project
 from curbstar.operators.quality import run_checks
 from curbstar.operators.reports import Series, scorecards, series_counts, share_within
 from curbstar.plans import applications, enforcement, raw_feeds, trade
+from curbstar.plans.base import Plan
 from curbstar.plans.raw_feeds import read
+from curbstar.sources.readers import read_raw
 from curbstar.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,6 +219,18 @@ def trade_table(name: str) -> Query:
     return lambda spark, sf: trade.Trade(spark, sf).plan(name)
 
 
+def any_value_of_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Any segment of each nation's customers, which must be one of theirs."""
+    customers = read(spark, sf, "customer").select("c_nationkey", "c_mktsegment")
+    any_one = representative("c_mktsegment", deterministic=False)
+    picked = grouped_dim(
+        customers, ["c_nationkey"], {"c_mktsegment": any_one, "n_customers": F.count("*")}
+    )
+    members = customers.distinct().withColumn("is_member", F.lit(True))
+    found = picked.join(members, ["c_nationkey", "c_mktsegment"], "left")
+    return found.fillna(False, ["is_member"]).drop("c_mktsegment")
+
+
 def dim_grouped_max_avg(spark: SparkSession, sf: str) -> DataFrame:
     customers = read(spark, sf, "customer").select(
         "c_nationkey",
@@ -384,20 +398,28 @@ def quality(*names: str, checks: list) -> Query:
 # --- models on the raw feeds ---------------------------------------------------------------------
 
 
-def enforcement_plan(spark: SparkSession, sf: str) -> enforcement.Enforcement:
+Routes = Mapping[str, Callable[[DataFrame], DataFrame]]
+
+
+def routed(feeds: Mapping[str, DataFrame], routes: Routes) -> dict[str, DataFrame]:
+    """The feeds, some of them by another route."""
+    return {name: routes[name](feed) if name in routes else feed for name, feed in feeds.items()}
+
+
+def enforcement_plan(spark: SparkSession, sf: str, routes: Routes = {}) -> enforcement.Enforcement:
     feeds = {
         "source_nyc_311_traffic": raw_feeds.complaints(spark, sf),
         "source_mta_ace_violations": raw_feeds.camera_violations(spark, sf),
     }
-    return enforcement.Enforcement(Store.scratch(spark), feeds)
+    return enforcement.Enforcement(Store.scratch(spark), routed(feeds, routes))
 
 
-def applications_plan(spark: SparkSession, sf: str) -> applications.Applications:
+def applications_plan(spark: SparkSession, sf: str, routes: Routes = {}) -> applications.Applications:
     feeds = {
         "source_dot_service_requests_history": raw_feeds.service_requests(spark, sf),
         "source_nyc_open_restaurant_apps": raw_feeds.seating_applications(spark, sf),
     }
-    plan = applications.Applications(Store.scratch(spark), feeds)
+    plan = applications.Applications(Store.scratch(spark), routed(feeds, routes))
     plan.as_of = AS_OF
     return plan
 
@@ -417,16 +439,45 @@ def applications_model(name: str) -> Query:
 def calendar_use(spark: SparkSession, sf: str) -> DataFrame:
     """The generated hour calendar with the number of complaints and violations in each hour."""
     e = enforcement_plan(spark, sf)
-    days, *_ = e.together("dim_date", "stg_311", "stg_ace")
+    days = e.plan("dim_date")
     for fact, ts, name in (
         ("stg_311", "created_at", "complaints"),
         ("stg_ace", "first_occurrence", "violations"),
     ):
-        counts = e.table(fact).groupBy(cal.hour_key(ts).alias("date_key")).agg(F.count("*").alias(name))
+        (rows,) = e.staged(fact)
+        counts = rows.groupBy(cal.hour_key(ts).alias("date_key")).agg(F.count("*").alias(name))
         days = days.join(counts, "date_key", "left")
     return days.fillna(0, ["complaints", "violations"])
 
 
+def scanned(spark: SparkSession, name: str, feed: DataFrame) -> DataFrame:
+    """The feed by way of files, with a column that its schema does not declare."""
+    path = f"{Store.scratch(spark).root}/{name}"
+    feed.withColumn("undeclared", F.lit("kept")).write.parquet(path)
+    return read_raw(spark, name, path)
+
+
+def scan_model(plan: Callable[..., Plan], source: str, name: str) -> Query:
+    """A staging model of files that the reader scans."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        made = plan(spark, sf, {source: lambda feed: scanned(spark, source, feed)})
+        return plain(made.plan(name))
+
+    return query
+
+
+def opened_report(name: str) -> Query:
+    """A report over marts that another plan has written."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        written = enforcement_plan(spark, sf)
+        written.build()
+        return getattr(enforcement.Enforcement.open(written.store), name)()
+
+    return query
+
+
 def enforcement_checks(spark: SparkSession, sf: str) -> DataFrame:
     return run_checks(enforcement_plan(spark, sf).build(), enforcement.CHECKS)
 
@@ -471,6 +522,7 @@ QUERIES: dict[str, Query] = {
     "dim_route": trade_table("dim_route"),
     "dim_stop_any_value": trade_table("dim_stop"),
     "dim_grouped_max_avg": dim_grouped_max_avg,
+    "any_value_of_group": any_value_of_group,
     "fk_lookup_null_safe": fk_lookup_null_safe,
     "fk_lookup_strict": fk_lookup_strict,
     "fk_lookup_mixed": fk_lookup_mixed,
@@ -520,6 +572,16 @@ QUERIES: dict[str, Query] = {
     "report_type_share_by_borough": enforcement_report("type_share_by_borough"),
     "report_total_violations": enforcement_report("total_violations"),
     "report_total_complaints": enforcement_report("total_complaints"),
+    "opened_report_by_borough": opened_report("by_borough"),
+    "opened_report_by_year": opened_report("by_year"),
+    "scan_stg_311": scan_model(enforcement_plan, "source_nyc_311_traffic", "stg_311"),
+    "scan_stg_ace": scan_model(enforcement_plan, "source_mta_ace_violations", "stg_ace"),
+    "scan_stg_nyc_311_dot": scan_model(
+        applications_plan, "source_dot_service_requests_history", "stg_nyc_311_dot"
+    ),
+    "scan_stg_nyc_open_restaurant_apps": scan_model(
+        applications_plan, "source_nyc_open_restaurant_apps", "stg_nyc_open_restaurant_apps"
+    ),
     "checks_enforcement": enforcement_checks,
     **{f"model_{name}": applications_model(name) for name in applications.Applications.tables},
     "checks_sources": source_checks,

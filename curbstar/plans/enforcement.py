@@ -212,6 +212,11 @@ class Enforcement(Plan):
         "fact_ace_violations": ("stg_ace", fact_ace_violations, list(VIOLATION_KEYS)),
     }
 
+    # The hour calendar: its first hour and how many follow. Records outside it have no date; the
+    # checks count them.
+    calendar_start: str = fv.CALENDAR_START
+    calendar_hours: int = fv.CALENDAR_HOURS
+
     def layer(self, name: str) -> str:
         return "staging" if name.startswith("stg_") else "marts_core"
 
@@ -223,17 +228,17 @@ class Enforcement(Plan):
             case "stg_ace":
                 return stg_ace(t("source_mta_ace_violations"))
             case "dim_date":
-                return hour_dim(store.spark)
+                return hour_dim(store.spark, self.calendar_start, self.calendar_hours)
             case "dim_location":
-                return dim_location(*self.together("stg_311", "stg_ace"), store)
+                return dim_location(*self.staged("stg_311", "stg_ace"), store)
             case "dim_311_problem":
-                return dim_311_problem(t("stg_311"), store)
+                return dim_311_problem(*self.staged("stg_311"), store)
             case "dim_ace_violation_type":
-                return dim_ace_violation_type(t("stg_ace"), store)
+                return dim_ace_violation_type(*self.staged("stg_ace"), store)
             case "dim_bus_route":
-                return dim_bus_route(t("stg_ace"), store)
+                return dim_bus_route(*self.staged("stg_ace"), store)
             case "dim_bus_stop":
-                return dim_bus_stop(t("stg_ace"), store)
+                return dim_bus_stop(*self.staged("stg_ace"), store)
         raise KeyError(name)
 
     def series(self, dim: str, key: str, *lookups: str) -> list[Series]:

@@ -234,6 +234,8 @@ SQL["dim_type"] = _with("nations stg_shipments dim_type", "SELECT * FROM dim_typ
 SQL["dim_route"] = _with("nations stg_shipments dim_route", "SELECT * FROM dim_route")
 SQL["dim_stop_any_value"] = _with("nations stg_shipments dim_stop", "SELECT * FROM dim_stop")
 
+SQL["any_value_of_group"] = """
+SELECT c_nationkey, count(*) AS n_customers, true AS is_member FROM customer GROUP BY c_nationkey"""
 SQL["dim_grouped_max_avg"] = """
 SELECT c_nationkey, segment, max(c_name) AS name, round(sum(balance) / count(balance), 6) AS balance
 FROM (SELECT c_nationkey, nullif(c_mktsegment, 'BUILDING') AS segment, c_name,
@@ -852,6 +854,15 @@ for _name, _columns in _DECIMALS.items():
     _as_double = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _columns)
     SQL[f"model_{_name}"] = f"SELECT * REPLACE ({_as_double}) FROM ({SQL[f'model_{_name}']})"
 
+# Files with a further column: the typed models leave it out, the others pass it through.
+for _name in ("stg_311", "stg_ace"):
+    SQL[f"scan_{_name}"] = SQL[f"model_{_name}"]
+for _name in ("stg_nyc_311_dot", "stg_nyc_open_restaurant_apps"):
+    SQL[f"scan_{_name}"] = f"SELECT *, 'kept' AS undeclared FROM ({SQL[f'model_{_name}']})"
+# Reports over marts written before.
+for _name in ("report_by_borough", "report_by_year"):
+    SQL[f"opened_{_name}"] = SQL[_name]
+
 SQL["model_test_311_sample"] = _with(
     "raw_dot", "SELECT unique_key, created_date, complaint_type, borough FROM raw_dot"
 )

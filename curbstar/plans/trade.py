@@ -253,7 +253,7 @@ class Trade(Plan):
         return stg_requests(*self.together("stg_shipments", "stg_orders"))
 
     def _dim_hour(self) -> DataFrame:
-        orders, shipments = self.together("stg_orders", "stg_shipments")
+        orders, shipments = self.staged("stg_orders", "stg_shipments")
         moments = orders.select(F.col("created_at").alias("ts"))
         return hour_dim_spanning(moments.union(shipments.select("shipped_at")), "ts")
 
@@ -263,35 +263,35 @@ class Trade(Plan):
         return date_dim_from([(orders, "o_orderdate"), (lines, "l_shipdate")])
 
     def _dim_location(self) -> DataFrame:
-        staged = self.together("stg_orders", "stg_shipments")
+        staged = self.staged("stg_orders", "stg_shipments")
         sources = [df.select(*LOCATION) for df in staged]
         return sequence_key(conformed_dim(sources), LOCATION, "location_key", self.store)
 
     def _dim_location_hashed(self) -> DataFrame:
-        staged = self.together("stg_orders", "stg_shipments")
+        staged = self.staged("stg_orders", "stg_shipments")
         sources = [df.select(*HASHED_LOCATION) for df in staged]
         places = conformed_dim(sources, not_null=["borough"])
         return places.select(hash_key(*HASHED_LOCATION).alias("location_key"), *HASHED_LOCATION)
 
     def _dim_problem(self) -> DataFrame:
-        problems = distinct_dim(self.table("stg_orders"), PROBLEM)
+        problems = distinct_dim(*self.staged("stg_orders"), PROBLEM)
         return sequence_key(problems, PROBLEM, "problem_key", self.store)
 
     def _dim_problem_hashed(self) -> DataFrame:
-        problems = distinct_dim(self.table("stg_orders"), PROBLEM, not_null=["status"])
+        problems = distinct_dim(*self.staged("stg_orders"), PROBLEM, not_null=["status"])
         return problems.select(hash_key(*PROBLEM).alias("problem_key"), *PROBLEM)
 
     def _dim_type(self) -> DataFrame:
-        types = distinct_dim(self.table("stg_shipments"), TYPE)
+        types = distinct_dim(*self.staged("stg_shipments"), TYPE)
         return sequence_key(types, TYPE, "type_key", self.store)
 
     def _dim_route(self) -> DataFrame:
-        routes = distinct_dim(self.table("stg_shipments"), ["route_id"], not_null=["route_id"])
+        routes = distinct_dim(*self.staged("stg_shipments"), ["route_id"], not_null=["route_id"])
         keyed = sequence_key(routes, ["route_id"], "route_key", self.store)
         return keyed.withColumn("agency_name", F.lit("CARRIER"))
 
     def _dim_stop(self) -> DataFrame:
-        shipments = self.table("stg_shipments")
+        (shipments,) = self.staged("stg_shipments")
         attributes = {c: representative(c) for c in ("category", "quantity")}
         stops = grouped_dim(shipments.filter(F.col("stop_id").isNotNull()), ["stop_id"], attributes)
         return sequence_key(stops, ["stop_id"], "stop_key", self.store)
