@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,18 +10,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbstar.session import scratch_root
+from curbstar.session import new_scratch
 
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
 PASS_BYTES = 1 << 19
 
 
 class Scratch:
-    """Written tables that cut lineage, in a new folder of the shared scratch space."""
+    """Written tables that cut lineage, in a new folder of the shared scratch space that goes with
+    the session."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{scratch_root(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+        self.root = new_scratch(spark, "llm")
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
