@@ -2,7 +2,9 @@
 
 A page becomes a flat list of blocks: text between tags that break lines. Each block has its word
 count, its link density, those of its neighbours, and what the enclosing tags say. A decision tree,
-grown on the small labelled table below, marks the blocks of the article.
+grown on the small labelled table below, marks the blocks of the article. Tags and names are weighed by
+the text they hold: a form or a named element around the article is no frame, and a small element
+named like an article does not turn the rest of the page away.
 
 Defined results: null, empty or text-free pages give an empty text; unclosed tags end with the tag
 around them, an unfinished tag at the end is dropped; rows are independent, so repeated rows give
@@ -28,7 +30,9 @@ _TOKEN = re.compile(
     r"|(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z))",
     re.DOTALL | re.IGNORECASE,
 )
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_NAMED = re.compile(
+    r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE
+)
 _HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 
 _INLINE = frozenset(
@@ -40,16 +44,27 @@ _FRAME_TAGS = frozenset("nav header footer aside form menu dialog button fieldse
 _MAIN_TAGS = frozenset("article main".split())
 #: Words in a class, id or role that name what is not the article, and what is.
 _FRAME_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|sidebar|side|footer|"
+    r"(?:^|[_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|sidebar|side|footer|"
     r"header|masthead|breadcrumbs?|cookies?|consent|notice|popup|modal|overlay|alert|newsletter|"
     r"subscribe|subscription|signup|login|share|sharing|social|related|recommend\w*|comments?|"
     r"respond|replies|reply|disqus|widget|toolbar|pagination|pager|tags|search|contentinfo|"
-    r"complementary|navigation|copyright|legal|disclaimer|teaser)(?=$|[\s_-])",
+    r"complementary|navigation|copyright|legal|disclaimer|teaser)(?=$|[_-])",
     re.IGNORECASE,
 )
 _MAIN_WORDS = re.compile(
     r"(?:^|[\s_-])(?:article|content|entry|post|story|main|body)(?=$|[\s_-])", re.IGNORECASE
 )
+#: Names that say what an element has or is about, not what it is; heads of an article.
+_STATEMENT = re.compile(r"(?:has|with|without|no|category|tag|format|status|type)[_-]", re.IGNORECASE)
+_HEAD = re.compile(r"(?:^|[_-])(?:header|masthead)(?=$|[_-])", re.IGNORECASE)
+_OWN_HEAD = re.compile(r"(?:article|entry|post|story)[_-](?:header|masthead)$", re.IGNORECASE)
+#: Frames that stay frames however much they hold.
+_NEVER_MAIN = re.compile(
+    r"(?:^|[_-])(?:ads?|advert\w*|sponsor\w*|nav\w*|menu|footer|breadcrumbs?|cookies?|consent|"
+    r"newsletter|subscribe|subscription|signup|related|recommend\w*|comments?|respond|replies|"
+    r"reply|disqus|contentinfo|complementary|copyright)(?=$|[_-])",
+    re.IGNORECASE,
+)
 #: Tags whose opening ends an open one of the same kind.
 _CLOSED_BY = {
     "p": frozenset(
@@ -67,6 +82,22 @@ _CLOSED_BY = {
 _STRUCTURE = _FRAME_TAGS | _MAIN_TAGS | frozenset("div section body html table ul ol dl".split())
 
 
+@dataclass(eq=False)
+class Element:
+    """An open tag, what it says of its text, and how much text without links it holds."""
+
+    name: str
+    frame: bool = False
+    main: bool = False
+    #: A frame that may turn out to hold the article; an article or main element; a container.
+    may_wrap: bool = False
+    certain: bool = False
+    container: bool = False
+    holds_main: bool = False
+    words: int = 0
+    prose: int = 0
+
+
 @dataclass
 class Block:
     text: str
@@ -75,26 +106,98 @@ class Block:
     frame: bool
     main: bool
     heading: bool
+    within: tuple[Element, ...] = ()
+
 
+def _frame_names(names: list[str], in_main: bool, in_certain: bool) -> list[str]:
+    """The names that make an element a frame, by where it stands."""
+    found = []
+    for name in names:
+        hit = _FRAME_WORDS.search(name)
+        if not hit or _STATEMENT.match(name) or _OWN_HEAD.search(name):
+            continue
+        if in_main and _HEAD.search(name):
+            continue
+        # in an article, post-social is a part of the post; social and social-links are not
+        if in_certain and (hit.start() or (hit.end() < len(name) and hit.group().lower() == "side")):
+            continue
+        found.append(name)
+    return found
 
-def blocks_of(page: str) -> Iterator[Block]:
+
+def _element(name: str, attributes: str, open_tags: list[Element]) -> Element:
+    named = [(k.lower(), (a or b or c).split()) for k, a, b, c in _NAMED.findall(attributes)]
+    names = [n for _, values in named for n in values]
+    in_main = any(e.main and e.container for e in open_tags)
+    in_certain = any(e.certain for e in open_tags)
+    certain = name in _MAIN_TAGS or any(k == "role" and "main" in values for k, values in named)
+    if certain or name in ("body", "html"):
+        return Element(name, False, certain or bool(_MAIN_WORDS.search(" ".join(names))), False,
+                       certain, certain)
+    by_name = _frame_names(names, in_main, in_certain)
+    # a header within the article holds its headline, not the site's
+    by_tag = name in _FRAME_TAGS and not (name == "header" and in_main)
+    frame = by_tag or bool(by_name)
+    may_wrap = frame and (not by_tag or name == "form") and not any(map(_NEVER_MAIN.search, by_name))
+    main = bool(names) and not frame and bool(_MAIN_WORDS.search(" ".join(names)))
+    return Element(name, frame, main, may_wrap, False, name in _STRUCTURE)
+
+
+def _settle(blocks: list[Block]) -> None:
+    """What the page as a whole says of its elements, then of each block.
+
+    A form or a named element that holds the article is no frame. Elements named like an article
+    count if they hold most of the text outside frames; article and main elements, if they hold a
+    quarter of it. Without such, no block is in the article by its tags.
+    """
+    total = prose = 0
+    for b in blocks:
+        free = b.words - b.linked
+        long = free if b.words >= 10 and b.linked * 3 <= b.words else 0
+        total, prose = total + free, prose + long
+        certain = False
+        for e in reversed(b.within):
+            e.words, e.prose, e.holds_main = e.words + free, e.prose + long, e.holds_main or certain
+            certain = certain or e.certain
+    for e in {e for b in blocks for e in b.within if e.may_wrap}:
+        if (e.holds_main and e.words * 2 > total) or (e.prose >= 40 and e.prose * 3 >= prose * 2):
+            e.frame = False
+    outside = in_main = in_certain = 0
+    for b in blocks:
+        b.frame = any(e.frame for e in b.within)
+        if not b.frame:
+            free = b.words - b.linked
+            outside += free
+            in_certain += free if any(e.certain for e in b.within) else 0
+            in_main += free if any(e.main and e.container for e in b.within) else 0
+    tags, named = in_certain * 4 >= outside and in_certain, in_main * 2 >= outside and in_main
+    for b in blocks:
+        b.main = any(e.main if named or not e.container else tags and e.certain for e in b.within)
+        b.main = b.main and bool(tags or named)
+
+
+def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in page order."""
-    open_tags: list[tuple[str, bool, bool]] = []
+    blocks = list(_found_blocks(page))
+    _settle(blocks)
+    return blocks
+
+
+def _found_blocks(page: str) -> Iterator[Block]:
+    """The blocks with the elements they stand in; these say yet nothing of frames."""
+    open_tags: list[Element] = []
     parts: list[str] = []
     linked: list[str] = []
     links = 0
     at = 0
 
-    def state() -> tuple[bool, bool]:
-        return any(f for _, f, _ in open_tags), any(m for _, _, m in open_tags)
-
     def finish() -> Iterator[Block]:
         words = "".join(parts).split()
         if words:
-            frame, main = state()
             in_links = len(" ".join(linked).split()) if linked else 0
-            heading = any(t in _HEADINGS for t, _, _ in open_tags)
-            yield Block(" ".join(words), len(words), in_links, frame, main, heading)
+            heading = any(e.name in _HEADINGS for e in open_tags)
+            within = tuple(e for e in open_tags if e.frame or e.main)
+            yield Block(" ".join(words), len(words), in_links, False, False, heading, within)
         parts.clear()
         linked.clear()
 
@@ -120,33 +223,26 @@ def blocks_of(page: str) -> Iterator[Block]:
             links = max(0, links - 1) if closing else links + 1
         if closing:
             if name in _INLINE:
-                names = [t for t, _, _ in open_tags]
+                names = [e.name for e in open_tags]
                 if name in names and not _STRUCTURE.intersection(names[len(names) - names[::-1].index(name):]):
                     del open_tags[len(names) - 1 - names[::-1].index(name)]
             else:
-                names = [t for t, _, _ in open_tags]
+                names = [e.name for e in open_tags]
                 if name in names:
                     del open_tags[len(names) - 1 - names[::-1].index(name) :]
-                    links = sum(t == "a" for t, _, _ in open_tags)
+                    links = sum(e.name == "a" for e in open_tags)
             continue
         if (found.group(4) or "").rstrip().endswith("/"):
             continue
         for k in range(len(open_tags) - 1, -1, -1):
-            opened = open_tags[k][0]
+            opened = open_tags[k].name
             if opened in _STRUCTURE:
                 break
             if name in _CLOSED_BY.get(opened, ()):
                 del open_tags[k:]
-                links = sum(t == "a" for t, _, _ in open_tags) + (name == "a")
+                links = sum(e.name == "a" for e in open_tags) + (name == "a")
                 break
-        hints = " ".join(a or b or c for a, b, c in _NAMED.findall(found.group(4) or ""))
-        inside_main = any(m for _, _, m in open_tags)
-        # a header within the article holds its headline, not the site's
-        is_frame = (name in _FRAME_TAGS and not (name == "header" and inside_main)) or bool(
-            hints and name not in ("body", "html") and _FRAME_WORDS.search(hints)
-        )
-        is_main = name in _MAIN_TAGS or bool(hints and not is_frame and _MAIN_WORDS.search(hints))
-        open_tags.append((name, is_frame, is_main))
+        open_tags.append(_element(name, found.group(4) or "", open_tags))
     if at < len(page) and not page.startswith("<", at):
         text = html.unescape(page[at:])
         parts.append(text)
@@ -209,6 +305,47 @@ words density before before_density after after_density frame main page_main hea
 9 0.0 0 0.0 12 0.0 0 0 0 0 1
 20 0.8 4 1.0 5 1.0 0 0 0 0 0
 30 0.7 3 1.0 10 0.9 0 0 0 0 0
+300 0.0 150 0.0 200 0.0 0 0 1 0 1
+200 0.02 300 0.0 180 0.0 0 0 1 0 1
+250 0.0 200 0.0 9 0.0 0 0 1 0 1
+400 0.0 250 0.0 300 0.0 1 0 0 0 1
+350 0.02 400 0.0 280 0.0 1 0 0 0 1
+400 0.0 250 0.0 300 0.0 1 0 1 0 0
+350 0.02 90 0.0 60 0.0 1 1 1 0 0
+300 0.8 40 1.0 20 0.9 1 0 0 0 0
+8 0.0 300 0.0 0 0.0 1 0 0 0 0
+25 0.0 400 0.0 4 1.0 1 0 0 0 0
+60 0.0 250 0.0 300 0.0 1 0 0 0 0
+420 0.0 20 0.0 30 0.0 1 0 0 0 1
+130 0.0 60 0.0 45 0.0 1 0 1 0 0
+150 0.0 90 0.0 110 0.0 1 1 1 0 0
+8 0.0 6 1.0 60 0.0 1 0 0 0 0
+10 0.0 1 1.0 80 0.0 1 0 1 0 0
+20 0.0 1 1.0 120 0.0 1 1 1 0 0
+2 1.0 3 1.0 90 0.0 1 0 1 0 0
+40 0.0 90 0.0 70 0.0 1 1 1 0 0
+12 0.0 1 1.0 40 0.0 1 0 0 0 0
+6 0.0 4 1.0 60 0.0 0 0 1 0 0
+25 0.0 2 1.0 90 0.0 0 0 1 0 0
+90 0.0 60 0.0 45 0.0 0 0 1 0 0
+7 0.0 0 0.0 60 0.0 0 0 1 1 0
+15 1.0 2 1.0 60 0.0 0 0 0 0 0
+2 1.0 1 1.0 50 0.0 0 0 0 0 0
+5 0.0 90 0.0 14 0.0 0 1 1 0 1
+33 0.0 102 0.0 20 0.0 0 1 1 0 1
+13 0.0 6 0.0 3 0.0 0 1 1 0 1
+26 0.0 9 0.0 12 0.0 0 1 1 0 1
+120 0.0 85 0.0 30 0.0 0 1 1 0 1
+9 0.0 200 0.0 2 0.0 0 1 1 0 1
+40 0.0 2 1.0 7 1.0 0 1 1 0 1
+4 0.0 5 1.0 6 1.0 0 1 1 0 1
+7 0.0 1 1.0 9 0.0 0 1 1 1 1
+2 0.0 80 0.0 0 0.0 0 1 1 0 1
+20 0.0 100 0.0 10 1.0 0 1 1 0 1
+6 0.0 90 0.0 25 0.0 0 0 0 0 1
+25 0.0 120 0.0 8 0.0 0 0 0 0 1
+40 0.1 2 1.0 3 1.0 0 0 0 0 1
+8 0.0 2 1.0 14 0.0 0 0 0 1 1
 8 0.6 60 0.0 3 1.0 0 0 0 0 0
 10 0.9 8 0.9 30 0.0 0 0 0 0 0
 """
@@ -257,7 +394,7 @@ def trained_tree() -> Tree:
 
 
 def main_text(page: str, tree: Tree) -> str:
-    blocks = list(blocks_of(page))
+    blocks = blocks_of(page)
     page_main = float(any(b.main for b in blocks))
     shape = [(b.words, b.linked / b.words if b.words else 0.0) for b in blocks]
     shape = [(0, 0.0), *shape, (0, 0.0)]

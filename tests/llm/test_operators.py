@@ -160,6 +160,26 @@ def test_html(page, text):
     assert html.main_text(page or "", html.trained_tree()) == text
 
 
+A, B = " ".join(f"a{k}" for k in range(20)), " ".join(f"b{k}" for k in range(40))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><header class='entry-header'><h1>T</h1></header><p>{A}</p></article>", f"T\n{A}"),
+    (f"<article><div class=post-header><h1>T</h1></div><p>{A}</p></article>", f"T\n{A}"),
+    (f"<article class='post category-social tag-search'><h1>T</h1><p>{A}<p>{B}</article>", f"T\n{A}\n{B}"),
+    (f"<main class=has-sidebar><p>{A}</p><p>{B}</p></main><footer>f</footer>", f"{A}\n{B}"),
+    (f"<form id=f><nav><a href=x>n</a></nav><h1>T</h1><p>{B}</p><p>{A}</p></form>", f"T\n{B}\n{A}"),
+    (f"<h1 class=post-title>T</h1><p>{A}</p><p>{B}</p><p>end</p>", f"T\n{A}\n{B}\nend"),
+    (f"<div class=post-meta>by me</div><div><p>{A}</p><p>{B}</p></div>", f"by me\n{A}\n{B}"),
+    (f"<article><p>{A}</p><div class='share-links'>s</div></article><section id=comments><p>{B}</p>"
+     f"<p>{B}</p></section><aside class=related><article>{A}</article></aside>", A),
+    (f"<div><p>{B} {B} {B} {B} {B}</p></div><footer>{A}</footer>", f"{B} {B} {B} {B} {B}"),
+    (f"<div id=cookie-banner>{B}</div><article><p>{A}</p></article><form>mail</form>", A),
+])
+def test_html_frame_names(page, text):
+    assert html.main_text(page, html.trained_tree()) == text
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, None, "k"), (2, "<p>words of a page</p>", "k")],
                                   "page_id int, html string, text string")
