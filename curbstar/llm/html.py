@@ -24,12 +24,17 @@ from pyspark.sql import DataFrame
 
 _TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)"
-    r"|(script|style|noscript|template|textarea|select|svg|iframe|title|object|canvas)\b[^>]*>"
-    r".*?(?:</\1\s*>|\Z)"
     r"|[!?][^>]*(?:>|\Z)"
-    r"|(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z))",
-    re.DOTALL | re.IGNORECASE,
+    r"|(/?)([a-zA-Z][^\s/>\"'<]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)(?:>|\Z))",
+    re.DOTALL,
 )
+#: Tags whose content is no markup, up to their closing tag; tags whose content is not shown.
+_RAW = {
+    name: re.compile(rf"<(/?){name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE)
+    for name in ("script", "style", "textarea", "title")
+}
+_SVG_END = re.compile(r"</svg(?=[\s/>])", re.IGNORECASE)
+_HIDDEN = frozenset("noscript template select svg iframe object canvas".split())
 _NAMED = re.compile(
     r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE
 )
@@ -81,6 +86,107 @@ _CLOSED_BY = {
 }
 _STRUCTURE = _FRAME_TAGS | _MAIN_TAGS | frozenset("div section body html table ul ol dl".split())
 
+#: Tags that the search for hidden elements follows; those that cannot be within select or svg.
+_BREAKS = _STRUCTURE | _HEADINGS | _CLOSED_BY["p"] | frozenset("li dt dd tr td th".split())
+_FOLLOWED = _BREAKS | _HIDDEN | frozenset(["foreignobject", "option", "optgroup"])
+
+
+@dataclass
+class Tag:
+    start: int
+    end: int
+    #: Empty for comments, declarations and raw elements.
+    name: str = ""
+    closing: bool = False
+    attributes: str = ""
+
+    @property
+    def empty(self) -> bool:
+        return self.attributes.rstrip().endswith("/")
+
+
+def _tags(page: str) -> list[Tag]:
+    """The page's tags; a raw element is one of them with its content."""
+    tags, at, in_svg = [], 0, False
+    while found := _TOKEN.search(page, at):
+        at = found.end()
+        tag = Tag(found.start(), at, (found.group(2) or "").lower(), bool(found.group(1)),
+                  found.group(3) or "")
+        if tag.name == "svg" and not tag.empty:
+            in_svg = not tag.closing
+        elif tag.name in _RAW and not tag.closing:
+            close = _RAW[tag.name].search(page, at)
+            # written as empty, it has content only if its closing tag is the next of its kind
+            while close and not close.group(1) and not tag.empty:
+                close = _RAW[tag.name].search(page, close.end())
+            closed = bool(close and close.group(1))
+            svg_end = _SVG_END.search(page, at) if in_svg else None
+            if svg_end and closed and close.start() > svg_end.start():
+                closed = False
+            if closed:
+                at = close.end()
+            elif not tag.empty and not svg_end:
+                at = len(page)
+            tag = Tag(tag.start, at)
+        tags.append(tag)
+    return tags
+
+
+def _hidden(tags: list[Tag], size: int) -> dict[int, int]:
+    """Numbers of the tags that open hidden content, and where it ends in the page of that size.
+
+    Content is hidden up to a closing tag that comes while the element is open. An element that ends
+    with another around it, or by content that it cannot hold, was empty; a select ends with its
+    last option.
+    """
+    ends: dict[int, int] = {}
+    if not any(t.name in _HIDDEN for t in tags):
+        return ends
+    stack: list[tuple[str, int]] = []
+    options: dict[int, int] = {}
+
+    def leave(depth: int, at: int) -> None:
+        for name, k in stack[depth:]:
+            if name == "select" and k in options:
+                last = tags[options[k]]
+                ends[k] = last.end if last.closing else at
+        del stack[depth:]
+
+    for k, tag in enumerate(tags):
+        name = tag.name
+        if name not in _FOLLOWED or name in _VOID and name != "hr":
+            continue
+        names = [n for n, _ in stack]
+        if name in ("option", "optgroup"):
+            if "select" in names:
+                options[stack[len(names) - 1 - names[::-1].index("select")][1]] = k
+            continue
+        if tag.closing:
+            if name in names:
+                depth = len(names) - 1 - names[::-1].index(name)
+                opened = stack[depth][1]
+                leave(depth + 1, tag.start)
+                stack.pop()
+                if name in _HIDDEN:
+                    ends[opened] = tag.end
+            continue
+        if names and names[-1] == "select" and name in _BREAKS | {"select"} and name != "hr":
+            leave(len(stack) - 1, tag.start)
+        elif names and names[-1] == "svg" and name in _BREAKS:
+            while stack and stack[-1][0] == "svg":
+                stack.pop()
+        for depth in range(len(stack) - 1, -1, -1):
+            opened = stack[depth][0]
+            if opened in _STRUCTURE or opened in _HIDDEN:
+                break
+            if name in _CLOSED_BY.get(opened, ()):
+                leave(depth, tag.start)
+                break
+        if not tag.empty and name != "hr":
+            stack.append((name, k))
+    leave(0, size)
+    return ends
+
 
 @dataclass(eq=False)
 class Element:
@@ -201,17 +307,20 @@ def _found_blocks(page: str) -> Iterator[Block]:
         parts.clear()
         linked.clear()
 
-    for found in _TOKEN.finditer(page):
-        if found.start() > at:
-            text = html.unescape(page[at : found.start()])
+    tags = _tags(page)
+    hidden = _hidden(tags, len(page))
+    for k, tag in enumerate(tags):
+        if tag.start < at:
+            continue
+        if tag.start > at:
+            text = html.unescape(page[at : tag.start])
             parts.append(text)
             if links:
                 linked.append(text)
-        at = found.end()
-        name = (found.group(3) or "").lower()
-        if not name:
+        at = hidden.get(k, tag.end)
+        name, closing = tag.name, tag.closing
+        if not name or name in _HIDDEN:
             continue
-        closing = bool(found.group(2))
         if name == "br":
             parts.append(" ")
             continue
@@ -232,17 +341,17 @@ def _found_blocks(page: str) -> Iterator[Block]:
                     del open_tags[len(names) - 1 - names[::-1].index(name) :]
                     links = sum(e.name == "a" for e in open_tags)
             continue
-        if (found.group(4) or "").rstrip().endswith("/"):
+        if tag.empty:
             continue
-        for k in range(len(open_tags) - 1, -1, -1):
-            opened = open_tags[k].name
+        for depth in range(len(open_tags) - 1, -1, -1):
+            opened = open_tags[depth].name
             if opened in _STRUCTURE:
                 break
             if name in _CLOSED_BY.get(opened, ()):
-                del open_tags[k:]
+                del open_tags[depth:]
                 links = sum(e.name == "a" for e in open_tags) + (name == "a")
                 break
-        open_tags.append(_element(name, found.group(4) or "", open_tags))
+        open_tags.append(_element(name, tag.attributes, open_tags))
     if at < len(page) and not page.startswith("<", at):
         text = html.unescape(page[at:])
         parts.append(text)

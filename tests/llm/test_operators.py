@@ -180,6 +180,25 @@ def test_html_frame_names(page, text):
     assert html.main_text(page, html.trained_tree()) == text
 
 
+@pytest.mark.parametrize("inner, text", [
+    ("<p>x <svg class='i'/>y</p><p>z</p><svg><path d=''/></svg>", "x y\nz"),
+    ("<p>x</p><svg class=i><path d=''><p>y</p>", "x\ny"),
+    ("<svg><title>t</svg><p>x</p><svg><title>u</title><foreignObject><p>v</p></foreignObject></svg><p>y</p>",
+     "x\ny"),
+    ("<p>x</p><select><option>a<option>b<p>y</p><p>z</p><select><option>c</select>", "x\ny\nz"),
+    ("<p>x <select><option>a</option> y</p><p>z</p>", "x y\nz"),
+    ("<p>x</p><object data=o><p>y</p><object>q</object><canvas><p>z</p>", "x\ny\nz"),
+    ("<p>x</p><div><iframe src=i></div><p>y</p><iframe>q</iframe>", "x\ny"),
+    ("<select-box><p>x</p></select-box><object-view><p>y</p><title-bar>z</title-bar>", "x\ny\nz"),
+    ("<script src='s'/><p>x</p><script data-a='>'>var a</script><p>y</p><style>z", "x\ny"),
+    ("<noscript><p>q</p></noscript><p>x</p><object><p>q</p></object><canvas>q</canvas>"
+     "<svg><text>q</text></svg><select><option>q</option></select><textarea><p>q</textarea>y", "x\ny"),
+])
+def test_html_hidden_elements(inner, text):
+    page = f"<title>t</title><article>{inner}</article>"
+    assert html.main_text(page, html.trained_tree()) == text
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, None, "k"), (2, "<p>words of a page</p>", "k")],
                                   "page_id int, html string, text string")
