@@ -8,7 +8,8 @@ its solution are filled with actual pieces of the groups; whatever is left, the
 them, goes where it fits best. A cell loses about one sequence at most, against thousands in it.
 
 Defined results: a null or blank text is one piece that holds the end token only; repeated rows are
-packed as separate documents; an empty table gives no rows.
+packed as separate documents; an empty table gives no rows; a special token written in a text gets its
+own id, as the tokenizer does by default.
 """
 
 from __future__ import annotations
@@ -45,7 +46,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Special tokens in lower case; the tokenizer finds them as they are written.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.lower().encode() for t in added]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -62,6 +65,20 @@ class WordIds:
         for word, tokens in zip(new, encoded):
             self.young[word] = array("I", tokens.ids).tobytes()
 
+    def words(self, data: bytes, marks: list[int]) -> list[list[bytes]]:
+        """The words of each text, in lower case as the tokenizer puts them, but for those that may
+        hold a special token."""
+        small = data.lower()
+        found = [small[a:b].split() for a, b in zip(marks[:-1], marks[1:])]
+        if any(t in small for t in self.special):
+            for k, words in enumerate(found):
+                if any(t in w for t in self.special for w in words):
+                    written = data[marks[k] : marks[k + 1]].split()
+                    found[k] = [
+                        o if any(t in w for t in self.special) else w for o, w in zip(written, words)
+                    ]
+        return found
+
     def of(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.young.__getitem__, words))
 
@@ -85,9 +102,7 @@ def _cut(path: str, length: int):
             data, offsets = utf8(batch.column("text"))
             docs = batch.column("doc_id")
             for low, high, part, marks in passes(data, offsets):
-                # the tokenizer puts words in lower case as well
-                raw = part.tobytes().lower()
-                texts = [raw[a:b].split() for a, b in zip(marks[:-1].tolist(), marks[1:].tolist())]
+                texts = ids.words(part.tobytes(), marks.tolist())
                 ids.learn([w for words in texts for w in words])
                 rows: list[tuple[int, int, int, int, int]] = []
                 for row, words in enumerate(texts, low):

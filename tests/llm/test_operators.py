@@ -296,6 +296,25 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, tokenizer_path()).count() == 0
 
 
+def test_packing_special_tokens(spark):
+    pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts = ["the end <|endoftext|> New text", "A<|endoftext|>B <|startoftext|>", "a <|ENDOFTEXT|> B",
+             "<|EndOfText|><|endoftext|>Y", "<|endoftext|", "Plain ONE", "x<|endoftext|>" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack_documents(docs, tokenizer_path()).collect()
+    for k, text in enumerate(texts):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        own = sorted((r for r in rows if r.doc_id == k), key=lambda r: r.piece)
+        assert [(r.start, r.length) for r in own] == [
+            (at, min(4096, len(ids) - at)) for at in range(0, len(ids), 4096)
+        ]
+        for r in own:
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+
+
 def test_pack_is_close_to_the_bound():
     lengths = np.minimum(np.random.default_rng(3).lognormal(6.5, 0.9, 6000).astype(int) + 1, 4096)
     sequence, _ = packing.pack(lengths)
