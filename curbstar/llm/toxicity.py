@@ -1,6 +1,6 @@
 """Toxicity of texts: subword-bag embeddings averaged into a linear softmax.
 
-A word is the bag of its character n-grams (of 4, 6 and 8 bytes, with its edges) and itself, hashed into one
+A word is the bag of its character n-grams (of 3 to 8 bytes, with its edges) and itself, hashed into one
 embedding table, so an unseen misspelling shares vectors with the words it resembles. Words are
 averaged over windows of a few words, each window goes through a linear softmax, and a text is as
 toxic as its worst window. Embeddings and softmax are trained jointly in numpy, on the driver, on a
@@ -23,17 +23,17 @@ from pyspark.sql import functions as F
 
 from curbstar.llm.common import PASS_BYTES, RollingHash, passes, utf8, word_bounds
 
-BUCKETS, DIMENSIONS = 1 << 21, 4
-NGRAMS = (4, 6, 8)
+BUCKETS, DIMENSIONS = 1 << 21, 8
+NGRAMS = (3, 4, 5, 6, 7, 8)
 WINDOW_WORDS = 2
 #: Labelled texts of each kind that training takes, by hash of the id.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 2000
 #: Texts that must hold a bucket before it is learnt; how strongly pooling prefers the worst window.
 LEAST_TEXTS, SHARPNESS = 6, 1.0
 STEPS, RATE, DECAY = 50, 0.1, 1e-7
 THRESHOLD = 0.7
-#: Words whose features training holds at a time.
-PART_KINDS = 20_000
+#: Kinds of words whose features, and buckets whose embeddings, training works on at a time.
+PART_KINDS, PART_BUCKETS = 20_000, 1 << 15
 
 _HASH = RollingHash(31)
 _LETTER = np.arange(256, dtype=np.uint8)
@@ -155,8 +155,9 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
     parts = []
     for low, buckets, of_kind in _features_by_part(kinds):
         common = number[buckets] >= 0
-        parts.append((number[buckets[common]], (low + of_kind[common]).astype(np.int32)))
-    flat, of_kind = (np.concatenate(x) for x in zip(*parts))
+        size = min(PART_KINDS, len(kinds) - low)
+        parts.append((low, size, number[buckets[common]], of_kind[common].astype(np.uint16)))
+    del holders, number, met, text_of_word
     starts, first_window = _windows(firsts)
     sizes = np.diff(np.append(starts, firsts[-1]))
     window_of_word = np.repeat(np.arange(len(starts)), sizes)
@@ -167,8 +168,19 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
     table = generator.normal(0, 0.01, (len(used), DIMENSIONS))
     column, offset = generator.normal(0, 1, DIMENSIONS), np.zeros(1)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (table, column, offset)]
+
+    def update(x, m, v, g, step):
+        m *= 0.9
+        m += 0.1 * g
+        v *= 0.99
+        v += 0.01 * g * g
+        x -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+
     for step in range(1, STEPS + 1):
-        value = np.bincount(of_kind, (table @ column)[flat], len(kinds)) / lengths
+        worth, value = table @ column, np.empty(len(kinds))
+        for low, size, flat, of_kind in parts:
+            value[low : low + size] = np.bincount(of_kind, worth[flat], size)
+        value /= lengths
         margin = np.bincount(window_of_word, value[kind], len(starts)) / sizes + offset[0]
         worst = np.maximum.reduceat(margin, cuts_text)
         pull = np.exp(SHARPNESS * (margin - worst[text_of_window]))
@@ -177,18 +189,16 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> Model:
         error = (1 / (1 + np.exp(-np.clip(pooled, -60, 60))) - truth) * share
         slope = error[text_of_window] * pull
         to_kind = np.bincount(kind, (slope / sizes)[window_of_word], len(kinds)) / lengths
-        to_bucket = np.bincount(flat, to_kind[of_kind], len(used))
-        gradients = (
-            np.outer(to_bucket, column) + DECAY * table,
-            table.T @ to_bucket + DECAY * column,
-            slope.sum(keepdims=True),
-        )
-        for x, g, (m, v) in zip((table, column, offset), gradients, state):
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.99
-            v += 0.01 * g * g
-            x -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+        to_bucket = np.zeros(len(used))
+        for low, size, flat, of_kind in parts:
+            to_bucket += np.bincount(flat, to_kind[low : low + size][of_kind], len(used))
+        of_column = table.T @ to_bucket + DECAY * column
+        for low in range(0, len(used), PART_BUCKETS):
+            rows = slice(low, low + PART_BUCKETS)
+            gradient = np.outer(to_bucket[rows], column) + DECAY * table[rows]
+            update(table[rows], state[0][0][rows], state[0][1][rows], gradient, step)
+        update(column, *state[1], of_column, step)
+        update(offset, *state[2], slope.sum(keepdims=True), step)
     numbers = np.zeros(BUCKETS)
     numbers[used] = table @ column
     return Model(numbers, float(offset[0]))

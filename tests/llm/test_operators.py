@@ -222,6 +222,13 @@ def test_toxicity_learns_subwords(spark, empty):
     assert {r._score for r in toxicity.with_scores(docs, blank, ["doc_id"]).collect()} == {0.5}
 
 
+def test_toxicity_knows_short_misspellings():
+    texts = [words(100 + k, 60) + (" dumb" * 3 if k % 3 == 0 else "") for k in range(120)]
+    model = toxicity.train([t.encode() for t in texts], np.arange(120) % 3 == 0, np.ones(120))
+    changed, unknown = model.scores([b"w1 dvmb", b"w1 kxtz"])
+    assert changed > unknown
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix(docs).collect()
     assert len(rows) == docs.count()
