@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbstar.llm import (
-    fingerprint, html, language, minhash, mixing, neighbours, packing, repeats, resampling, toxicity,
+    collocations, filter_audit, fingerprint, html, language, minhash, mixing, neighbours, packing,
+    repeats, resampling, toxicity, warc,
 )
 from curbstar.llm.common import crc_of, read
 
@@ -72,6 +73,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(read(spark, sf_dir, "pages"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -83,4 +96,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_filter_interactions": op11_filter_interactions,
+    "op12_arc_to_warc": op12_arc_to_warc,
+    "op13_collocations": op13_collocations,
 }
