@@ -54,7 +54,7 @@ def entropy_levels(data: np.ndarray) -> np.ndarray:
     after, before = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
     for low in range(0, size, _BLOCK):
         part = data[low : low + _BLOCK + WINDOW]
-        for gap in range(1, WINDOW):
+        for gap in range(1, min(WINDOW, len(part))):
             here = part[: min(_BLOCK, len(part) - gap)]
             equal = (here == part[gap : gap + len(here)]).view(np.uint8)
             after[low : low + len(here)] += equal
