@@ -14,11 +14,15 @@ from curbstar.sources.store import Store
 
 # A dimension is broadcast when its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond it, a key with at least HOT_ROWS fact rows is looked up apart (at most HOT_KEYS of them),
-# and its rows are spread over SPREAD pieces instead of meeting in one task.
+# Beyond it, a key with at least HOT_ROWS fact rows and one in HOT_SHARE of all is looked up apart,
+# and its rows are spread over SPREAD pieces instead of meeting in one task. So there are at most
+# HOT_SHARE hot keys; keys whose texts pass HOT_KEY_BYTES take the usual way.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 100_000
+HOT_SHARE = 10_000
+HOT_KEY_BYTES = 1024
 SPREAD = 1 << 20
+# Counters of the sketch that hot keys are looked for with.
+SKETCH_BUCKETS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -136,13 +140,20 @@ def star_lookups(
 
 
 def build_fact(
-    staged: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str | Column]
+    staged: DataFrame,
+    lookups: Sequence[Lookup],
+    columns: Sequence[str | Column],
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
-    """Staged rows, every foreign key, then the fact's columns."""
+    """Staged rows, every foreign key, then the fact's columns.
+
+    ``counted_in`` is the staged table itself where ``staged`` carries joins already; hot keys are
+    counted there.
+    """
     sizes = measured_bytes([lookup.dim.select(lookup.key, *lookup.on) for lookup in lookups])
     fact = staged
     for lookup, size in zip(lookups, sizes):
-        fact = lookup_fk(fact, lookup, size <= BROADCAST_BYTES, hot_from=staged)
+        fact = lookup_fk(fact, lookup, size <= BROADCAST_BYTES, hot_from=counted_in or staged)
     return fact.select(*columns)
 
 
@@ -197,16 +208,39 @@ def _condition(tolerant: Sequence[bool], left: str, right: str) -> Column:
     return reduce(Column.__and__, tests)
 
 
+def key_sketch(rows: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """``bucket, rows``: how many rows fall into each of SKETCH_BUCKETS hash buckets of their key.
+
+    A task sends a row per bucket at most, however many keys it has seen; sketches of several
+    tables add up by bucket.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(SKETCH_BUCKETS)).cast("int")
+    return rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows"))
+
+
 def _hot_keys(hot: Hot, keys: Mapping[str, Column]) -> DataFrame:
-    """The hottest keys: HOT_KEYS at most, so safe to broadcast.
+    """The hot keys, HOT_SHARE at most and of bounded width, so safe to broadcast.
 
-    Which keys count as hot never changes a result, but all readers must agree on them, so they
-    are written.
+    A bucket of the sketch holds at least the rows of each of its keys, so only keys in heavy buckets
+    are counted one by one. Which keys count as hot never changes a result, but all readers must
+    agree on them, so they are written.
     """
-    named = [key.alias(f"_h{i}") for i, key in enumerate(keys.values())]
-    counted = hot.counted_in.groupBy(*named).agg(F.count("*").alias("_rows"))
-    hottest = counted.filter(F.col("_rows") >= hot.rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
     store = Store.scratch(hot.counted_in.sparkSession)
+    named = [key.alias(f"_h{i}") for i, key in enumerate(keys.values())]
+    counted = hot.counted_in.select(*named)
+    columns = [F.col(c) for c in counted.columns]
+    sketch = store.table("lookups", "sketch", key_sketch(counted, columns))
+    total = sketch.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    least = max(hot.rows, -(-total // HOT_SHARE))
+    heavy = sketch.filter(F.col("rows") >= least).select("bucket")
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(SKETCH_BUCKETS)).cast("int")
+    hottest = (
+        counted.withColumn("bucket", bucket)
+        .join(F.broadcast(heavy), "bucket", "left_semi")
+        .groupBy(*counted.columns)
+        .agg(F.count("*").alias("_rows"))
+        .filter((F.col("_rows") >= least) & (_row_bytes(counted) <= HOT_KEY_BYTES))
+    )
     return store.table("lookups", "hot_keys", hottest.drop("_rows"))
 
 

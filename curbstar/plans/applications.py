@@ -230,6 +230,7 @@ def fact_311_dot_requests(requests: DataFrame, dims: Mapping[str, DataFrame]) ->
             F.col("method_of_submission").alias("channel_type"),
             "resolution_description",
         ],
+        counted_in=requests,
     )
 
 
@@ -274,6 +275,7 @@ def fact_restaurant_applications(
             "sla_serial_number",
             "sla_license_type",
         ],
+        counted_in=applications,
     )
 
 

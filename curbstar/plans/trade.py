@@ -199,6 +199,7 @@ def fact_requests(requests: DataFrame, dims: Mapping[str, DataFrame]) -> DataFra
             flag_eq("status", "F").alias("is_closed"),
             "status",
         ],
+        counted_in=requests,
     )
 
 
