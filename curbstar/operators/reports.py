@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Series:
-    """A fact counted through one dimension: one series, or one per value of a label column."""
+    """A fact counted through one dimension: one series, or one per value of a label column.
+
+    ``also`` names columns that both sides share beside the key, such as the fact's partition: a
+    filter on the dimension then prunes the fact's files.
+    """
 
     label: str | Column
     fact: DataFrame
     dim: DataFrame
     key: str
+    also: tuple[str, ...] = ()
 
 
 def series_counts(series: Sequence[Series], by: Mapping[str, str | Column]) -> DataFrame:
@@ -30,10 +35,11 @@ def series_counts(series: Sequence[Series], by: Mapping[str, str | Column]) -> D
     counted = []
     for s in series:
         label = F.lit(s.label) if isinstance(s.label, str) else s.label
-        per_key = s.fact.groupBy(s.key, label.alias("series")).agg(F.count("*").alias("event_count"))
-        attributes = s.dim.select(s.key, *_named(by))
+        keys = [s.key, *s.also]
+        per_key = s.fact.groupBy(*keys, label.alias("series")).agg(F.count("*").alias("event_count"))
+        attributes = s.dim.select(*keys, *_named(by))
         counted.append(
-            per_key.join(attributes, s.key)
+            per_key.join(attributes, keys)
             .groupBy(*names, "series")
             .agg(F.sum("event_count").alias("event_count"))
         )

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from threading import RLock
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from curbstar.operators.quality import Check, Observed, run_checks
 from curbstar.sources.store import Store
 
 # Builds a fact from its staged rows and its dimensions by name; a dimension that is left out
@@ -27,11 +29,17 @@ class Plan(ABC):
     tables: list[str]
     # Fact table: staging table, builder, dimensions.
     facts: Mapping[str, tuple[str, FactBuilder, list[str]]]
+    # Written facts that are partitioned: column name and what it holds, as SQL. The column is beside the
+    # fact's own ones and only in ``partitioned``.
+    partitions: Mapping[str, tuple[str, str]] = {}
 
     def __init__(self, store: Store, sources: Mapping[str, DataFrame]):
         self.store = store
         self.sources = sources
         self._built: dict[str, DataFrame] = dict(sources)
+        self._partitioned: dict[str, DataFrame] = {}
+        self._watched: Sequence[Check] = ()
+        self._observed: dict[str, Observed] = {}
         self._locks = {name: RLock() for name in (*sources, *self.tables)}
 
     @classmethod
@@ -41,9 +49,21 @@ class Plan(ABC):
         staging = {staged for staged, _, _ in cls.facts.values()}
         for name in cls.tables:
             if name not in staging:
-                plan._built[name] = store.read(plan.layer(name), name)
+                plan._keep(name, store.read(plan.layer(name), name))
         return plan
 
+    def _keep(self, name: str, written: DataFrame) -> None:
+        if name in self.partitions:
+            self._partitioned[name] = written
+            written = written.drop(self.partitions[name][0])
+        self._built[name] = written
+
+    def partitioned(self, name: str) -> tuple[DataFrame, tuple[str, ...]]:
+        """The written fact with its partition column, and that column's name; none if not written."""
+        if name in self._partitioned:
+            return self._partitioned[name], (self.partitions[name][0],)
+        return self.fact(name), ()
+
     @abstractmethod
     def plan_other(self, name: str) -> DataFrame:
         """A table that is not a fact, as a plan over its written inputs."""
@@ -76,7 +96,14 @@ class Plan(ABC):
         """The written table, or the raw extract of that name."""
         with self._locks[name]:
             if name not in self._built:
-                self._built[name] = self.store.table(self.layer(name), name, self.plan(name))
+                df, by = self.plan(name), ()
+                if name in self.partitions:
+                    column, value = self.partitions[name]
+                    # files of a proper size in each partition; large partitions are split
+                    df, by = df.withColumn(column, F.expr(value)).hint("rebalance", column), (column,)
+                self._observed[name] = Observed([c for c in self._watched if c.table == name])
+                df = self._observed[name].watch(df)
+                self._keep(name, self.store.table(self.layer(name), name, df, by))
             return self._built[name]
 
     def together(self, *names: str) -> list[DataFrame]:
@@ -84,7 +111,21 @@ class Plan(ABC):
         with ThreadPoolExecutor(max(len(names), 1)) as pool:
             return list(pool.map(self.table, names))
 
-    def build(self) -> dict[str, DataFrame]:
-        """Build and write all tables, staging first."""
+    def build(self, watch: Sequence[Check] = ()) -> dict[str, DataFrame]:
+        """Build and write all tables, staging first, and publish them together.
+
+        Row-wise checks among ``watch`` are counted by the jobs that write their tables.
+        """
+        self._watched = watch
         self.together(*{staged for staged, _, _ in self.facts.values()})
-        return dict(zip(self.tables, self.together(*self.tables)))
+        built = dict(zip(self.tables, self.together(*self.tables)))
+        self.store.publish()
+        return built
+
+    def observed(self) -> dict[Check, int]:
+        """Failures of the checks that were counted while tables were written."""
+        return {c: n for o in self._observed.values() for c, n in o.counts().items()}
+
+    def build_checked(self, checks: Sequence[Check]) -> DataFrame:
+        """Build everything and report all checks; only those across rows read the tables again."""
+        return run_checks(self.build(checks), checks, self.observed())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbstar import fixed_values as fv
@@ -19,7 +19,13 @@ from curbstar.operators.dims import (
     representative,
     sequence_key,
 )
-from curbstar.operators.lookup import build_fact, natural, star_lookups
+from curbstar.operators.lookup import (
+    BROADCAST_BYTES,
+    build_fact,
+    measured_bytes,
+    natural,
+    star_lookups,
+)
 from curbstar.operators.project import require, safe_project
 from curbstar.operators.quality import Accepted, NotNull, Related, Unique
 from curbstar.operators.reports import Series, series_counts, share_within, total
@@ -212,6 +218,12 @@ class Enforcement(Plan):
         "fact_ace_violations": ("stg_ace", fact_ace_violations, list(VIOLATION_KEYS)),
     }
 
+    # Hour keys are YYYYMMDDHH.
+    partitions = {
+        name: ("date_year", "date_key div 1000000")
+        for name in ("fact_311_complaints", "fact_ace_violations")
+    }
+
     # The hour calendar: its first hour and how many follow. Records outside it have no date; the
     # checks count them.
     calendar_start: str = fv.CALENDAR_START
@@ -257,9 +269,24 @@ class Enforcement(Plan):
             self.series("dim_location", "location_key", "dim_location"), natural(*attributes)
         )
 
-    def by_date(self, *attributes: str) -> DataFrame:
-        """Both series by any calendar attributes."""
-        return series_counts(self.series("dim_date", "date_key"), natural(*attributes))
+    def by_date(self, *attributes: str, where: Column | None = None) -> DataFrame:
+        """Both series by any calendar attributes, in the hours that ``where`` keeps.
+
+        Of written facts, only the years with such hours are read.
+        """
+        if where is None:
+            return series_counts(self.series("dim_date", "date_key"), natural(*attributes))
+        hours = self.table("dim_date").filter(where)
+        series = []
+        for label, name in (
+            (fv.CAMERA_SERIES, "fact_ace_violations"), (fv.COMPLAINT_SERIES, "fact_311_complaints")
+        ):
+            fact, also = self.partitioned(name)
+            through = hours.withColumns({c: F.expr(self.partitions[name][1]) for c in also})
+            if measured_bytes([through])[0] <= BROADCAST_BYTES:
+                through = F.broadcast(through)
+            series.append(Series(label, fact, through, "date_key", also))
+        return series_counts(series, natural(*attributes))
 
     def by_borough(self) -> DataFrame:
         return self.by_location("borough")

@@ -862,6 +862,10 @@ for _name in ("stg_nyc_311_dot", "stg_nyc_open_restaurant_apps"):
 # Reports over marts written before.
 for _name in ("report_by_borough", "report_by_year"):
     SQL[f"opened_{_name}"] = SQL[_name]
+SQL["opened_report_beside_broken_build"] = SQL["report_by_year"]
+SQL["opened_report_one_year"] = _series(
+    "month, peak_period", "(SELECT * FROM hours WHERE year = 2023) h USING (date_key)", "marts", _CURB + "hours marts"
+)
 
 SQL["model_test_311_sample"] = _with(
     "raw_dot", "SELECT unique_key, created_date, complaint_type, borough FROM raw_dot"
