@@ -35,7 +35,7 @@ BOROUGH_SPELLINGS = [
 ]
 ZIP_SPELLINGS = [
     "N/A",
-    " na ",
+    " na  ",
     "anonymous",
     "10001",
     "ABCDE",
@@ -45,7 +45,7 @@ ZIP_SPELLINGS = [
     "1001",
 ]
 REQUEST_TYPES = [
-    "Street Condition",
+    "STREET condition",
     "Traffic Signal Condition",
     "Sidewalk Condition",
     "Bike Rack Condition",
@@ -113,7 +113,9 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
             "created_date": F.when(again & (cust % 41 == 0), F.lit("not a date")).otherwise(_text(start)),
             "closed_date": F.when(again & (status == "F"), _text(end)).when(again & (status == "P"), F.lit("pending")),
             "agency": F.when(cust % 4 == 0, F.lit("DOT")).when(cust % 4 > 1, F.lit("NYPD")),
-            "complaint_type": F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Illegal Parking"))
+            "complaint_type": F.when(cust % 43 == 5, F.lit("illegal parking"))
+            .when(cust % 43 == 6, F.lit("Abandoned Vehicle"))
+            .when(F.col("o_orderpriority") == "1-URGENT", F.lit("Illegal Parking"))
             .when(F.col("o_orderpriority") == "2-HIGH", F.lit("Blocked Driveway"))
             .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("Double Parked Blocking Vehicle"))
             .when(F.col("o_orderpriority") == "5-LOW", F.lit("Posted Parking Sign Violation"))
