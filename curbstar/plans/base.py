@@ -33,6 +33,10 @@ class Plan(ABC):
     # fact's own ones and only in ``partitioned``.
     partitions: Mapping[str, tuple[str, str]] = {}
 
+    # Events of all facts by their foreign keys, if the plan keeps such a table: reports then read it
+    # in place of the facts.
+    summary: str | None = None
+
     def __init__(self, store: Store, sources: Mapping[str, DataFrame]):
         self.store = store
         self.sources = sources
@@ -40,7 +44,8 @@ class Plan(ABC):
         self._partitioned: dict[str, DataFrame] = {}
         self._watched: Sequence[Check] = ()
         self._observed: dict[str, Observed] = {}
-        self._locks = {name: RLock() for name in (*sources, *self.tables)}
+        named = (*sources, *self.tables, *([self.summary] if self.summary else ()))
+        self._locks = {name: RLock() for name in named}
 
     @classmethod
     def open(cls, store: Store) -> Plan:
@@ -50,8 +55,14 @@ class Plan(ABC):
         for name in cls.tables:
             if name not in staging:
                 plan._keep(name, store.read(plan.layer(name), name))
+        if cls.summary and store.has(plan.layer(cls.summary), cls.summary):
+            plan._keep(cls.summary, store.read(plan.layer(cls.summary), cls.summary))
         return plan
 
+    @property
+    def summarized(self) -> bool:
+        return self.summary in self._built
+
     def _keep(self, name: str, written: DataFrame) -> None:
         if name in self.partitions:
             self._partitioned[name] = written
@@ -111,14 +122,17 @@ class Plan(ABC):
         with ThreadPoolExecutor(max(len(names), 1)) as pool:
             return list(pool.map(self.table, names))
 
-    def build(self, watch: Sequence[Check] = ()) -> dict[str, DataFrame]:
+    def build(self, watch: Sequence[Check] = (), summarize: bool = True) -> dict[str, DataFrame]:
         """Build and write all tables, staging first, and publish them together.
 
-        Row-wise checks among ``watch`` are counted by the jobs that write their tables.
+        Row-wise checks among ``watch`` are counted by the jobs that write their tables. The summary,
+        if the plan has one, is added up from the written facts.
         """
         self._watched = watch
         self.together(*{staged for staged, _, _ in self.facts.values()})
         built = dict(zip(self.tables, self.together(*self.tables)))
+        if self.summary and summarize:
+            self.table(self.summary)
         self.store.publish()
         return built
 
@@ -128,4 +142,4 @@ class Plan(ABC):
 
     def build_checked(self, checks: Sequence[Check]) -> DataFrame:
         """Build everything and report all checks; only those across rows read the tables again."""
-        return run_checks(self.build(checks), checks, self.observed())
+        return run_checks(self.build(checks, summarize=False), checks, self.observed())

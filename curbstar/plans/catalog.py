@@ -26,7 +26,7 @@ from curbstar.functions.keys import hash_fk, hash_key
 from curbstar.operators.dedup import dedup_latest
 from curbstar.operators.dims import distinct_dim, grouped_dim, hour_dim_spanning, representative
 from curbstar.operators.lookup import Lookup, build_fact, lookup_fk, lookup_role, natural
-from curbstar.operators.project import require, safe_project, strict_project
+from curbstar.operators.project import CheckedCasts, require, safe_project, strict_project
 from curbstar.operators.quality import run_checks
 from curbstar.operators.reports import Series, scorecards, series_counts, share_within
 from curbstar.plans import applications, enforcement, raw_feeds, trade
@@ -53,7 +53,8 @@ HIGH, OUTER = ["1-URGENT", "2-HIGH"], ["1-URGENT", "5-LOW"]
 # --- staging operators ---------------------------------------------------------------------------
 
 
-def safe_cast_types(spark: SparkSession, sf: str) -> DataFrame:
+def mixed_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers, times and words in one text column."""
     status = F.col("o_orderstatus")
     mixed = (
         F.when(status == "F", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
@@ -61,9 +62,12 @@ def safe_cast_types(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "5-LOW", F.col("o_totalprice").cast("string"))
         .otherwise(F.col("o_orderpriority"))
     )
-    text = read(spark, sf, "orders").select(F.col("o_orderkey"), mixed.alias("text"))
+    return read(spark, sf, "orders").select(F.col("o_orderkey"), mixed.alias("text"))
+
+
+def safe_cast_types(spark: SparkSession, sf: str) -> DataFrame:
     return safe_project(
-        text,
+        mixed_texts(spark, sf),
         {
             "order_id": "o_orderkey",
             "as_long": ("text", "bigint"),
@@ -73,6 +77,24 @@ def safe_cast_types(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def strict_casts_reported(spark: SparkSession, sf: str) -> DataFrame:
+    """What strict casts of mixed texts would fail on, gathered by the job that writes the table."""
+    casts = CheckedCasts(
+        {"as_long": ("text", "bigint"), "as_double": ("text", "double"), "as_timestamp": ("text", "timestamp")}
+    )
+    Store.scratch(spark).table("staging", "cast", casts.project(mixed_texts(spark, sf), ["text"]))
+    rows = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(bad.rows).cast("bigint").alias("bad_rows"),
+            F.lit(bad.least).cast("string").alias("least_text"),
+            F.lit(bad.greatest).cast("string").alias("greatest_text"),
+        )
+        for name, bad in casts.report().items()
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def strict_cast_star_except(spark: SparkSession, sf: str) -> DataFrame:
     customer = read(spark, sf, "customer").withColumn("balance_text", F.col("c_acctbal").cast("string"))
     projected = strict_project(
@@ -109,9 +131,8 @@ def rolling_window_filter(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def dedup_latest_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest by ship date, or by the order's epoch where a returned line has none."""
-    lines = read(spark, sf, "lineitem").select(
+def line_versions(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("closed_at"),
@@ -119,12 +140,28 @@ def dedup_latest_lineitem(spark: SparkSession, sf: str) -> DataFrame:
         "l_partkey",
         "l_suppkey",
     )
+
+
+def latest_lines(lines: DataFrame) -> DataFrame:
     latest = F.coalesce("closed_at", "created_at")
     return dedup_latest(
         lines, ["l_orderkey", "l_linenumber"], latest, ["l_partkey", "l_suppkey", "closed_at"]
     )
 
 
+def dedup_latest_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """Latest by ship date, or by the order's epoch where a returned line has none."""
+    return latest_lines(line_versions(spark, sf))
+
+
+def dedup_latest_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a landing in buckets of the record key, without a shuffle."""
+    lines = line_versions(spark, sf)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    landed = Store.scratch(spark).land("raw", "lines", lines, ["l_orderkey", "l_linenumber"], buckets)
+    return latest_lines(landed)
+
+
 def dedup_latest_simple(spark: SparkSession, sf: str) -> DataFrame:
     events = read(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
     return dedup_latest(events, ["user_id"], F.col("ts"), ["event_id"])
@@ -468,11 +505,11 @@ def scan_model(plan: Callable[..., Plan], source: str, name: str) -> Query:
     return query
 
 
-def published(spark: SparkSession, sf: str) -> enforcement.Enforcement:
+def published(spark: SparkSession, sf: str, summarize: bool = False) -> enforcement.Enforcement:
     """A plan that has built and published a warehouse."""
     plan = enforcement_plan(spark, sf)
     plan.store = Warehouse(spark, plan.store.root)
-    plan.build()
+    plan.build(summarize=summarize)
     return plan
 
 
@@ -481,11 +518,13 @@ def opened(spark: SparkSession, plan: enforcement.Enforcement) -> enforcement.En
     return enforcement.Enforcement.open(Warehouse(spark, plan.store.root))
 
 
-def opened_report(name: str, *attributes: str, where: str | None = None) -> Query:
-    """A report over marts that another plan has published."""
+def opened_report(
+    name: str, *attributes: str, where: str | None = None, summarize: bool = False
+) -> Query:
+    """A report over marts that another plan has published, from its facts or from the summary."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        report = getattr(opened(spark, published(spark, sf)), name)
+        report = getattr(opened(spark, published(spark, sf, summarize)), name)
         return report(*attributes, where=F.expr(where)) if where else report(*attributes)
 
     return query
@@ -523,10 +562,12 @@ def plain(df: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "safe_cast_types": safe_cast_types,
     "strict_cast_star_except": strict_cast_star_except,
+    "strict_casts_reported": strict_casts_reported,
     "required_fields_filter": required_fields_filter,
     "or_like_filter": or_like_filter,
     "rolling_window_filter": rolling_window_filter,
     "dedup_latest_lineitem": dedup_latest_lineitem,
+    "dedup_latest_landed": dedup_latest_landed,
     "dedup_latest_simple": dedup_latest_simple,
     "prefix_classify_nation": prefix_classify_nation,
     "standardize_region": standardize_region,
@@ -599,6 +640,14 @@ QUERIES: dict[str, Query] = {
     "opened_report_by_year": opened_report("by_year"),
     "opened_report_one_year": opened_report("by_date", "month", "peak_period", where=f"year = {REPORT_YEAR}"),
     "opened_report_beside_broken_build": report_beside_broken_build,
+    **{
+        f"summary_{name}": opened_report(name, summarize=True)
+        for name in ("by_borough", "by_month", "type_share_by_borough", "total_complaints")
+    },
+    "summary_drill_down": opened_report(
+        "drill_down", "borough", "violation_category", "peak_period",
+        where=f"year = {REPORT_YEAR}", summarize=True,
+    ),
     "scan_stg_311": scan_model(enforcement_plan, "source_nyc_311_traffic", "stg_311"),
     "scan_stg_ace": scan_model(enforcement_plan, "source_mta_ace_violations", "stg_ace"),
     "scan_stg_nyc_311_dot": scan_model(

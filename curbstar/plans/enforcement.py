@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,14 @@ from curbstar.operators.lookup import (
 )
 from curbstar.operators.project import require, safe_project
 from curbstar.operators.quality import Accepted, NotNull, Related, Unique
-from curbstar.operators.reports import Series, series_counts, share_within, total
+from curbstar.operators.reports import (
+    Series,
+    drill_down,
+    series_counts,
+    share_within,
+    summarize,
+    total,
+)
 from curbstar.plans.base import Plan
 from curbstar.sources.store import Store
 
@@ -221,7 +228,15 @@ class Enforcement(Plan):
     # Hour keys are YYYYMMDDHH.
     partitions = {
         name: ("date_year", "date_key div 1000000")
-        for name in ("fact_311_complaints", "fact_ace_violations")
+        for name in ("fact_311_complaints", "fact_ace_violations", "event_summary")
+    }
+    summary = "event_summary"
+    # What the summary is kept by: key and dimension.
+    summary_keys = {
+        "date_key": "dim_date",
+        "location_key": "dim_location",
+        "violation_type_key": "dim_ace_violation_type",
+        "problem_key": "dim_311_problem",
     }
 
     # The hour calendar: its first hour and how many follow. Records outside it have no date; the
@@ -251,11 +266,17 @@ class Enforcement(Plan):
                 return dim_bus_route(*self.staged("stg_ace"), store)
             case "dim_bus_stop":
                 return dim_bus_stop(*self.staged("stg_ace"), store)
+            case "event_summary":
+                violations, complaints = self.together("fact_ace_violations", "fact_311_complaints")
+                facts = {fv.CAMERA_SERIES: violations, fv.COMPLAINT_SERIES: complaints}
+                return summarize(facts, list(self.summary_keys))
         raise KeyError(name)
 
     def series(self, dim: str, key: str, *lookups: str) -> list[Series]:
         """Both facts, for counting through ``dim``; ``lookups`` are the keys that this takes."""
         through = self.table(dim)
+        if self.summarized:
+            return [Series(F.col("series"), self.table(self.summary), through, key, count="event_count")]
         violations = self.fact("fact_ace_violations", *lookups)
         complaints = self.fact("fact_311_complaints", *lookups)
         return [
@@ -276,18 +297,40 @@ class Enforcement(Plan):
         """
         if where is None:
             return series_counts(self.series("dim_date", "date_key"), natural(*attributes))
-        hours = self.table("dim_date").filter(where)
         series = []
-        for label, name in (
-            (fv.CAMERA_SERIES, "fact_ace_violations"), (fv.COMPLAINT_SERIES, "fact_311_complaints")
-        ):
+        for label, name in self.counted():
             fact, also = self.partitioned(name)
-            through = hours.withColumns({c: F.expr(self.partitions[name][1]) for c in also})
-            if measured_bytes([through])[0] <= BROADCAST_BYTES:
-                through = F.broadcast(through)
-            series.append(Series(label, fact, through, "date_key", also))
+            through = self.hours(where, also)
+            count = "event_count" if name == self.summary else None
+            series.append(Series(label, fact, through, "date_key", also, count))
         return series_counts(series, natural(*attributes))
 
+    def counted(self) -> list[tuple[str | Column, str]]:
+        """Label and name of the tables that reports count: the summary if there is one."""
+        if self.summarized:
+            return [(F.col("series"), self.summary)]
+        return [(fv.CAMERA_SERIES, "fact_ace_violations"), (fv.COMPLAINT_SERIES, "fact_311_complaints")]
+
+    def hours(self, where: Column | None, also: Sequence[str]) -> DataFrame:
+        """The calendar's hours that ``where`` keeps, with the partition column of the facts."""
+        hours = self.table("dim_date")
+        if where is not None:
+            hours = hours.filter(where)
+        hours = hours.withColumns({c: F.expr(self.partitions[self.summary][1]) for c in also})
+        return F.broadcast(hours) if measured_bytes([hours])[0] <= BROADCAST_BYTES else hours
+
+    def drill_down(self, *attributes: str, where: Column | None = None) -> DataFrame:
+        """Events by any attributes of calendar, location, violation type and problem, from the
+        summary alone; ``where`` is a condition on the calendar."""
+        summary, also = self.partitioned(self.summary)
+        dims = []
+        for key, name in self.summary_keys.items():
+            if name == "dim_date":
+                dims.append((self.hours(where, also), ("date_key", *also)))
+            else:
+                dims.append((self.table(name), (key,)))
+        return drill_down(summary, dims, attributes)
+
     def by_borough(self) -> DataFrame:
         return self.by_location("borough")
 
@@ -303,19 +346,29 @@ class Enforcement(Plan):
 
     def type_share_by_borough(self) -> DataFrame:
         location, kind = "dim_location", "dim_ace_violation_type"
+        violations, events = self.events(fv.CAMERA_SERIES, "fact_ace_violations", location, kind)
         return share_within(
-            self.fact("fact_ace_violations", location, kind),
+            violations,
             (self.table(location), "location_key", "borough"),
             (self.table(kind), "violation_type_key", "violation_category"),
             "violation_count",
             "borough_share",
+            events,
         )
 
+    def events(self, series: str, fact: str, *lookups: str) -> tuple[DataFrame, str | None]:
+        """One series, from the summary if there is one, and its column with the number of events."""
+        if self.summarized:
+            return self.table(self.summary).filter(F.col("series") == series), "event_count"
+        return self.fact(fact, *lookups), None
+
     def total_violations(self) -> DataFrame:
-        return total(self.fact("fact_ace_violations"), "total_ace_violations")
+        rows, events = self.events(fv.CAMERA_SERIES, "fact_ace_violations")
+        return total(rows, "total_ace_violations", events)
 
     def total_complaints(self) -> DataFrame:
-        return total(self.fact("fact_311_complaints"), "total_311_complaints")
+        rows, events = self.events(fv.COMPLAINT_SERIES, "fact_311_complaints")
+        return total(rows, "total_311_complaints", events)
 
 
 def _key(table: str, column: str) -> list[NotNull | Unique]:

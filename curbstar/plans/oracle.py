@@ -196,13 +196,21 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate
         WHEN o_orderpriority = '5-LOW' THEN CAST(o_totalprice AS VARCHAR)
         ELSE o_orderpriority END AS t FROM orders)"""
 
+SQL["strict_casts_reported"] = "\nUNION ALL ".join(
+    f"""SELECT '{name}' AS column_name, count(*) AS bad_rows, min(t) AS least_text, max(t) AS greatest_text
+FROM ({SQL["safe_cast_types"].replace("SELECT o_orderkey AS order_id,", "SELECT t,", 1)})
+WHERE t IS NOT NULL AND {name} IS NULL"""
+    for name in ("as_long", "as_double", "as_timestamp")
+)
+
 SQL["strict_cast_star_except"] = """
 SELECT * EXCLUDE (c_custkey, c_acctbal), CAST(c_custkey AS VARCHAR) AS customer_id,
   CAST(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(38, 9)) AS DOUBLE) AS balance FROM customer"""
 
 SQL["required_fields_filter"] = """
 SELECT o_orderkey AS order_id, o_orderstatus AS status, o_orderpriority AS priority FROM orders
-WHERE o_orderkey IS NOT NULL AND o_orderstatus <> 'P' AND left(o_orderpriority, 1) IN ('1', '2', '3')"""
+WHERE o_orderkey IS NOT NULL AND nullif(o_orderstatus, 'P') IS NOT NULL
+  AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
 
 SQL["or_like_filter"] = """
 SELECT p_partkey, p_name, p_type FROM part WHERE p_type = 'PROMO' OR p_name LIKE '%ring%'"""
@@ -218,6 +226,8 @@ SELECT DISTINCT ON (l_orderkey, l_linenumber) l_orderkey, l_linenumber,
 FROM lineitem
 ORDER BY l_orderkey, l_linenumber, l_shipdate DESC, l_partkey, l_suppkey, closed_at NULLS FIRST"""
 
+SQL["dedup_latest_landed"] = SQL["dedup_latest_lineitem"]
+
 SQL["dedup_latest_simple"] = """
 SELECT user_id, max(ts) AS ts, arg_min(event_id, (-epoch_us(ts), event_id)) AS event_id,
   arg_min(event_type, (-epoch_us(ts), event_id)) AS event_type FROM events GROUP BY user_id"""
@@ -898,6 +908,15 @@ for _name in ("stg_nyc_311_dot", "stg_nyc_open_restaurant_apps"):
 for _name in ("report_by_borough", "report_by_year"):
     SQL[f"opened_{_name}"] = SQL[_name]
 SQL["opened_report_beside_broken_build"] = SQL["report_by_year"]
+for _name in ("by_borough", "by_month", "type_share_by_borough", "total_complaints"):
+    SQL[f"summary_{_name}"] = SQL[f"report_{_name}"]
+SQL["summary_drill_down"] = _with(
+    _CURB + "hours",
+    """
+SELECT borough, violation_category, peak_period, 'ACE Violations' AS series, count(*) AS event_count
+FROM face JOIN locations USING (location_key) JOIN kinds USING (violation_type_key) JOIN hours USING (date_key)
+WHERE year = 2023 GROUP BY ALL""",
+)
 SQL["opened_report_one_year"] = _series(
     "month, peak_period", "(SELECT * FROM hours WHERE year = 2023) h USING (date_key)", "marts", _CURB + "hours marts"
 )

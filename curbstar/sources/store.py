@@ -55,12 +55,39 @@ class Store:
     def publish(self) -> None:
         """Make all tables written so far the live ones; here every table is live once written."""
 
+    def land(self, layer: str, name: str, df: DataFrame, by: Sequence[str], buckets: int) -> DataFrame:
+        """Write ``df`` to the catalog in buckets of ``by``, one sorted file each.
+
+        Later windows, joins and counts by these columns find equal keys in one task without a
+        shuffle: rows move once, when they land, however often they are read. A store with a folder
+        keeps the files there under a name of its own; choose ``buckets`` so that a bucket fits a task.
+        """
+        writer = (
+            df.repartition(buckets, *by).write.mode("overwrite").format("parquet")
+            .bucketBy(buckets, *by).sortBy(*by)
+        )
+        if self.catalog:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            table = f"{layer}.{name}"
+        else:
+            table = f"{layer}_{name}_{uuid.uuid4().hex}"
+            writer = writer.option("path", self.path(layer, table))
+        writer.saveAsTable(table)
+        return self.spark.table(table)
+
     def read(self, layer: str, name: str) -> DataFrame:
         """A table written earlier, by any session."""
         if self.catalog:
             return self.spark.table(f"{layer}.{name}")
         return self.spark.read.parquet(f"{self.root}/{layer}/{name}")
 
+    def has(self, layer: str, name: str) -> bool:
+        """Whether ``read`` would find the table."""
+        if self.catalog:
+            return self.spark.catalog.tableExists(f"{layer}.{name}")
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(layer, name))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def view(self, name: str, df: DataFrame) -> DataFrame:
         """Publish ``df`` as a view; nothing is computed."""
         df.createOrReplaceTempView(name)
@@ -97,15 +124,18 @@ class Warehouse(Store):
         return written
 
     def read(self, layer: str, name: str) -> DataFrame:
-        if self._pinned is None:
-            self.refresh()
-        if f"{layer}/{name}" not in self._pinned:
+        if not self.has(layer, name):
             raise LookupError(f"{layer}/{name} is not published in {self.root}")
         entry = self._pinned[f"{layer}/{name}"]
         schema = T.StructType.fromJson(entry["schema"])
         found = self.spark.read.schema(schema).parquet(f"{self.root}/{entry['folder']}")
         return found.select(*schema.fieldNames())
 
+    def has(self, layer: str, name: str) -> bool:
+        if self._pinned is None:
+            self.refresh()
+        return f"{layer}/{name}" in self._pinned
+
     def refresh(self) -> None:
         """Pin the manifest that is the latest now."""
         versions = self.versions()

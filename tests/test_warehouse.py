@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbstar.operators import lookup
+from curbstar.operators.dedup import dedup_latest
+from curbstar.operators.project import BadValues, CheckedCasts
 from curbstar.operators.quality import Accepted, NotNull, Observed, Unique, run_checks
+from curbstar.operators.reports import drill_down
 from curbstar.plans import catalog, enforcement
 from curbstar.sources.store import Store, Warehouse
 
@@ -223,3 +226,77 @@ def test_unique_checks_of_a_table_share_an_exchange(spark):
     # one by value, one that adds up the counts
     assert kinds(report).count("ShuffleExchangeExec") == 2
     assert [r.failures for r in run_checks({"t": df.limit(0)}, [checks[0]]).collect()] == [0]
+
+
+# --- the summary --------------------------------------------------------------------------------
+
+
+@needs_tables
+def test_the_summary_answers_every_report(spark):
+    with_summary = catalog.opened(spark, catalog.published(spark, SF_DIR, summarize=True))
+    facts_only = catalog.opened(spark, catalog.published(spark, SF_DIR))
+    assert with_summary.summarized and not facts_only.summarized
+    for name in ("by_borough", "by_year", "by_month", "by_weekday", "type_share_by_borough",
+                 "total_violations", "total_complaints"):
+        found = getattr(with_summary, name)()
+        assert found.collect() == getattr(facts_only, name)().collect()
+        scans = [n.simpleString(10_000) for n in final_plan(found) if "FileScan" in n.simpleString(100)]
+        assert scans and not any("fact_" in s for s in scans)
+    for attributes in (("borough", "neighborhood"), ("peak_period",)):
+        through = "by_date" if attributes[0] == "peak_period" else "by_location"
+        assert with_summary.drill_down(*attributes).collect() == getattr(facts_only, through)(*attributes).collect()
+    year = F.col("year") == 2023
+    found = with_summary.by_date("month", where=year)
+    assert found.collect() == facts_only.by_date("month", where=year).collect()
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_drill_down_through_several_dimensions(spark):
+    days = spark.createDataFrame([(1, 20, "mon"), (2, 20, "tue"), (3, 21, "tue")], "d int, y int, day string")
+    places = spark.createDataFrame([(1, "N"), (2, None)], "p int, area string")
+    summary = spark.createDataFrame(
+        [("a", 1, 20, 1, 5), ("a", 2, 20, 1, 7), ("b", 2, 20, 2, 1), ("b", 3, 21, None, 2), ("b", 9, 9, 1, 4)],
+        "series string, d int, y int, p int, event_count long")
+    dims = [(days, ("d", "y")), (places, ("p",))]
+    found = [tuple(r) for r in drill_down(summary, dims, ["area", "day"]).collect()]
+    assert found == [(None, "tue", "b", 1), ("N", "mon", "a", 5), ("N", "tue", "a", 7)]
+    assert [tuple(r) for r in drill_down(summary, dims, ["day"]).collect()] == [
+        ("mon", "a", 5), ("tue", "a", 7), ("tue", "b", 3)]
+    assert [tuple(r) for r in drill_down(summary, dims, []).collect()] == [("a", 12), ("b", 7)]
+
+
+# --- strict casts and landings ------------------------------------------------------------------
+
+
+def test_checked_casts_report_every_column(spark, store):
+    df = spark.createDataFrame(
+        [("1", "x", "2024-01-01"), ("b", "2.5", None), ("a", None, "soon"), (None, "y", "never")],
+        "n string, v string, ts string")
+    casts = CheckedCasts({"n": ("n", "bigint"), "value": ("v", "double"), "at": ("ts", "timestamp")})
+    written = store.table("layer", "t", casts.project(df, ["v", "ts"]))
+    assert written.columns == ["n", "value", "at"] and written.count() == 4
+    assert casts.report() == {
+        "n": BadValues(2, "a", "b"), "value": BadValues(2, "x", "y"), "at": BadValues(2, "never", "soon")}
+    with pytest.raises(ValueError, match="n: 2 rows are no bigint, such as 'a' and 'b'; value: 2 rows"):
+        casts.verify()
+    good = CheckedCasts({"n": ("n", "bigint")})
+    store.table("layer", "good", good.project(df.limit(1)))
+    good.verify()
+    none = CheckedCasts({"n": ("n", "bigint")})
+    store.table("layer", "none", none.project(df.limit(0)))
+    none.verify()
+
+
+@pytest.mark.parametrize("in_catalog", [False, True])
+def test_a_landed_table_is_read_without_a_shuffle(spark, store, in_catalog):
+    rows = spark.range(2000).select((F.col("id") % 300).alias("a"), (F.col("id") % 2).alias("b"), "id")
+    store = Store(spark, catalog=True) if in_catalog else store
+    landed = store.land("raw_db", "t", rows, ["a", "b"], 5)
+    latest = dedup_latest(landed, ["a", "b"], F.col("id"), ["id"])
+    other = store.land("raw_db", "other", rows.select("a", "b").distinct(), ["a", "b"], 5)
+    joined = landed.hint("merge").join(other, ["a", "b"])
+    assert latest.count() == 300 and joined.count() == 2000
+    for df in (latest, joined):
+        df.collect()
+        assert "ShuffleExchangeExec" not in kinds(df)
+    assert sorted(r.id for r in latest.collect()) == list(range(1700, 2000))
