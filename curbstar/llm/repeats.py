@@ -402,19 +402,19 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def with_spans(docs: DataFrame, least: int) -> DataFrame:
-    """The rows with ``_spans``: their repeated stretches, null for none."""
+    """``row`` (all columns) and ``spans``: its repeated stretches, null for none."""
     spans = (
         repeated_spans(docs, least)
         .groupBy("doc_id", "row_key")
-        .agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-        .toDF("_doc", "_key", "_spans")
+        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        .toDF("id", "key", "spans")
     )
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
-    return keyed.join(
-        spans,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_row_key") == F.col("_key")),
-        "left",
-    ).select(*docs.columns, "_spans")
+    # the row as one column, so that no name of the table can clash
+    rows = docs.select(
+        F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("own"), F.struct(*docs.columns).alias("row")
+    )
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("own") == F.col("key"))
+    return rows.join(spans, same, "left").select("row", "spans")
 
 
 def removed_digest(docs: DataFrame, least: int = 400) -> DataFrame:
@@ -422,9 +422,10 @@ def removed_digest(docs: DataFrame, least: int = 400) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
+            rows = batch.column("row")
+            data, offsets = utf8(rows.field("text"))
             out = []
-            for k, spans in enumerate(batch.column("_spans").to_pylist()):
+            for k, spans in enumerate(batch.column("spans").to_pylist()):
                 raw = data[offsets[k] : offsets[k + 1]].tobytes()
                 gone, rest, at = merged(spans), hashlib.sha256(), 0
                 for start, end in gone:
@@ -434,7 +435,7 @@ def removed_digest(docs: DataFrame, least: int = 400) -> DataFrame:
                 out.append((len(raw), sum(b - a for a, b in gone), len(gone), rest.hexdigest()))
             size, removed, count, sha = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
+                [rows.field("doc_id"), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(count, pa.int64()), pa.array(sha, pa.string())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
@@ -452,13 +453,13 @@ def without_repeats(docs: DataFrame, least: int = 200, least_words: int = 50) ->
     Passages are found as strings of ``least`` bytes; a removed stretch covers whole characters.
     """
 
-    columns = docs.columns
+    names, place = docs.columns, docs.columns.index("text")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            spans = batch.column("_spans").to_pylist()
-            for text, found in zip(batch.column("text").to_pylist(), spans):
+            spans, rows = batch.column("spans").to_pylist(), batch.column("row")
+            for text, found in zip(rows.field(place).to_pylist(), spans):
                 if found:
                     raw, kept, at = text.encode(), [], 0
                     for start, end in merged(found):
@@ -468,7 +469,8 @@ def without_repeats(docs: DataFrame, least: int = 200, least_words: int = 50) ->
                     kept.append(raw[at:])
                     text = b"".join(p.decode(errors="ignore").encode() for p in kept).decode()
                 texts.append(text)
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "text", pa.array(texts, pa.string())).select(columns)
+            columns = rows.flatten()
+            columns[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return with_spans(docs, least).mapInArrow(clean, docs.schema)
