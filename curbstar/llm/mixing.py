@@ -210,30 +210,31 @@ def _mended(rounded: DataFrame, scratch: Scratch, most: int) -> DataFrame:
     state = scratch.write(
         "missing-0",
         missing.select(
-            "source", F.abs("missing").alias("missing"), (F.col("missing") > 0).alias("more"),
+            "source", "missing", F.array().cast("array<bigint>").alias("used"),
             F.lit(None).cast("long").alias("size"), F.lit(0).cast("long").alias("times"),
+            F.lit(False).alias("more"),
         ),
     )
     rounds = []
     for k in range(1, MENDS + 1):
-        before = state.select("source", "missing", "more", F.col("size").alias("last"))
-        left = F.when(F.col("more"), F.col("up")).otherwise(F.col("down"))
-        fits = (F.col("size") <= F.col("missing")) & (left > 0) & (
-            F.col("last").isNull() | (F.col("size") < F.col("last"))
-        )
-        best = (
+        before = state.select("source", "missing", "used", (F.col("missing") > 0).alias("more"))
+        off = F.abs("missing")
+        fitting = F.least("left", F.floor(off / F.col("size")), F.lit(MEND_UNITS))
+        nearest = (
             _by_source(able, before)
-            .where(fits)
+            .withColumn("left", F.when(F.col("more"), F.col("up")).otherwise(F.col("down")))
+            .withColumn("times", F.greatest(fitting, F.lit(1)).cast("long"))
+            .withColumn("after", off - F.col("times") * F.col("size"))
+            .where((F.col("left") > 0) & (F.abs("after") < off) & ~F.array_contains("used", F.col("size")))
             .groupBy("source")
-            .agg(F.max(F.struct("size", left.alias("left"), "missing", "more")).alias("b"))
-            .select("source", "b.*")
+            .agg(F.min(F.struct(F.abs("after"), "size", "times", "after", "more", "used")).alias("b"))
+            .select("source", "b.size", "b.times", "b.after", "b.more", "b.used")
         )
-        times = F.least("left", F.floor(F.col("missing") / F.col("size")), F.lit(MEND_UNITS)).cast("long")
         state = scratch.write(
             f"missing-{k}",
-            best.withColumn("times", times).select(
-                "source", (F.col("missing") - F.col("times") * F.col("size")).alias("missing"), "more",
-                "size", "times",
+            nearest.select(
+                "source", F.when(F.col("more"), F.col("after")).otherwise(-F.col("after")).alias("missing"),
+                F.array_append("used", F.col("size")).alias("used"), "size", "times", "more",
             ),
         )
         rounds.append(state)
