@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbstar.llm.collocations import KeyFilter
 from curbstar.llm.common import (
     RollingHash, Scratch, lower_ascii, mix, passes, utf8, word_bounds,
 )
@@ -47,30 +48,43 @@ def feature_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return both[valid], marks
 
 
-def _counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Features of target texts and of all texts, by bucket."""
+def _counts(texts: DataFrame) -> np.ndarray:
+    """Features of all texts, by bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, raw = np.zeros(_BUCKETS, np.int64), np.zeros(_BUCKETS, np.int64)
+        counts = np.zeros(_BUCKETS, np.int64)
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            good = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            for low, high, part, marks in passes(data, offsets):
-                buckets, cuts = feature_buckets(part, marks)
-                raw += np.bincount(buckets, minlength=_BUCKETS)
-                owner = np.repeat(good[low:high], np.diff(cuts))
-                target += np.bincount(buckets[owner], minlength=_BUCKETS)
-        seen = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(target[seen]), pa.array(raw[seen])],
-            ["bucket", "target", "raw"],
-        )
+            for _, _, part, marks in passes(data, offsets):
+                counts += np.bincount(feature_buckets(part, marks)[0], minlength=_BUCKETS)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["bucket", "n"])
 
-    sums = docs.mapInArrow(count, "bucket long, target long, raw long")
-    target, raw = np.zeros(_BUCKETS), np.zeros(_BUCKETS)
-    for bucket, *found in sums.groupBy("bucket").agg(F.sum("target"), F.sum("raw")).collect():
-        target[bucket], raw[bucket] = found  # a row per bucket
-    return target, raw
+    sums = texts.select("text").mapInArrow(count, "bucket long, n long")
+    counts = np.zeros(_BUCKETS)
+    for bucket, n in sums.groupBy("bucket").agg(F.sum("n")).collect():
+        counts[bucket] = n  # a row per bucket
+    return counts
+
+
+def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``text`` of the documents with these ids.
+
+    A bit filter of fixed size lets their texts through and few others, so that hardly more than they
+    is moved; the join that settles it takes one plan at every size.
+    """
+    known = KeyFilter.of(ids.select(F.xxhash64("doc_id").alias("key")))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(known.has(keys))).select(["doc_id", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.where("doc_id is not null").select(
+        F.xxhash64("doc_id").alias("key"), "doc_id", "text"
+    ).mapInArrow(likely, f"doc_id {kind}, text string")
+    return texts.hint("merge").join(ids, "doc_id", "left_semi").select("text")
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -83,11 +97,8 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, n_features, log_weight, gumbel_key`` of every document."""
-    good = (
-        labels.where("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
-    )
-    flagged = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("_good"), "left")
-    target, raw = _counts(flagged.select("text", F.col("_good").isNotNull().alias("is_target")))
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    target, raw = _counts(_of_ids(docs, good)), _counts(docs)
     ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(target, raw))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

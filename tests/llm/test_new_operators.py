@@ -278,3 +278,36 @@ def test_scores_are_exact_beyond_64_bits(spark):
         [("en", "a", 1, big), ("en", "b", 1, big + 1), ("en", "a b", 2, big - 1)],
         "lang string, phrase string, words int, f long")
     assert collocations.scored(found).first().score == 2_000_000 * (big - 1) // (2 * big + 1)
+
+
+# --- importance weights -------------------------------------------------------------------------
+
+
+def test_importance_weights_against_plain_counts(spark):
+    """Counts of target and of all texts by bucket, and every document's weight."""
+    import numpy as np
+    import pyarrow as pa
+
+    from curbstar.llm import resampling
+    from curbstar.llm.common import utf8
+
+    rows = [(None if k == 5 else k % 30, [None, "", "One", sentences(k, 90)][min(k % 7, 3)], "en", "s")
+            for k in range(40)]
+    labels = [(k, k % 2) for k in range(0, 30, 3)] + [(None, 1), (99, 1), (3, 1), (6, None)]
+    good = {k for k, q in labels if q == 1 and k is not None}
+
+    def buckets(text):
+        data, offsets = utf8(pa.array([text]))
+        return resampling.feature_buckets(data, offsets)[0] if text else np.zeros(0, np.int64)
+
+    raw = target = np.zeros(1 << resampling.BUCKET_BITS)
+    for doc_id, text, _, _ in rows:
+        found = np.bincount(buckets(text), minlength=len(raw))
+        raw = raw + found
+        target = target + found * (doc_id in good)
+    ratios = resampling.log_ratios(target, raw)
+    assert target.sum() and np.ptp(ratios) > 0
+    found = resampling.score(
+        docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    expected = sorted((str(d), len(buckets(t)), round(float(ratios[buckets(t)].sum()), 6)) for d, t, _, _ in rows)
+    assert sorted((str(r.doc_id), r.n_features, round(r.log_weight, 6)) for r in found) == expected
