@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from curbstar.llm.common import Scratch
 
 ARCHIVE_BYTES = 32 << 20
+GZIP_LEVEL = "BEST_SPEED"
 #: Payloads from this size on are written once.
 LEAST_REVISIT = 1000
 CAPTURED = "20000101000000"
@@ -126,6 +127,7 @@ def _write_archives(rows: DataFrame, folder: str, end: str) -> None:
         .write.option("maxRecordsPerFile", 1)
         .option("lineSep", end)
         .option("compression", "gzip")
+        .option("zlib.compress.level", GZIP_LEVEL)
         .text(folder)
     )
 
