@@ -150,7 +150,8 @@ def _texts_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """``node, text`` of the given nodes."""
     same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("row_key"))
     found = nodes.select("node", F.col("doc_id").alias("d"), F.col("row_key").alias("k"))
-    return found.join(texts, same).select("node", "text").dropDuplicates(["node"])
+    # one plan at every size: texts move once, whether or not the nodes could be broadcast
+    return found.join(texts.hint("merge"), same).select("node", "text").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, met_texts: DataFrame, words: int, percent: int):
@@ -399,16 +400,12 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     chosen = (
         near_duplicates(docs, words, percent)
         .where("chosen")
-        .select(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"))
+        .select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"))
         .distinct()
     )
-    keyed = docs.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
-    return (
-        keyed.join(
-            chosen,
-            F.col("doc_id").cast("long").eqNullSafe(F.col("_doc"))
-            & (F.col("_row_key") == F.col("_key")),
-        )
-        .dropDuplicates(["_doc", "_key"])
-        .select(*docs.columns)
+    # the row as one column, so that no name of the table can clash
+    rows = docs.select(
+        F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("own"), F.struct(*docs.columns).alias("row")
     )
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.col("own") == F.col("key"))
+    return rows.join(chosen, same).dropDuplicates(["id", "key"]).select("row.*")
