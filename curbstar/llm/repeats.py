@@ -387,7 +387,11 @@ def repeated_spans(docs: DataFrame, least: int = 400) -> DataFrame:
     whole = found.join(several, ["anchor", "h1", "h2"]).select(
         "doc_id", "row_key", "start", "end"
     )
-    return whole.unionByName(indexed).unionByName(counted).distinct()
+    # written, so that what it was found in can go before texts move again
+    spans = scratch.write("spans", whole.unionByName(indexed).unionByName(counted).distinct())
+    for name in ("contexts", "kinds", "cut"):
+        scratch.drop(name)
+    return spans
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
