@@ -262,6 +262,65 @@ def test_languages(spark, empty):
         assert {r.lang_pred for r in language.identify(odd, m, ["doc_id"]).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_and_repeatable(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    monkeypatch.setattr(language, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(language, "PARTS", 4)
+    seen = []
+    train = language.train
+    monkeypatch.setattr(language, "train", lambda *a: seen.append(a) or train(*a))
+    alphabets = {"aa": "abcd", "bb": "efgh", "cc": "ijkl", "dd": "mnop"}
+    generator = np.random.default_rng(4)
+    rows = []
+    for k in range(200):
+        lang = "aa" if k < 90 else "bb" if k < 150 else "cc" if k < 190 else "dd"
+        text = "".join(generator.choice(list(alphabets[lang] + " "), 30 if k else 300_000))
+        rows.append((k, text, lang, "x", "y"))
+    rows += rows[:5] + [(None, None, "aa", "x", "y"), (7, "abc", None, "x", "y"), (8, "12", "aa", "x", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, key string, place string")
+    models = [language.fit(d) for d in (docs, docs.repartition(7))]
+    assert models[0].languages == ["aa", "bb", "cc"]
+    for found, truth, _ in seen:
+        # a repeated row takes a place of its own and is learnt from once
+        assert 15 <= truth.count("aa") <= 20 and truth.count("bb") == truth.count("cc") == 20
+        assert len(found) == len(truth)
+    assert (models[0].weights == models[1].weights).all()
+    assert models[0].temperature == models[1].temperature
+    scored = [
+        {(r.doc_id, r.lang_pred, r.score) for r in language.identify(docs, m, ["doc_id"]).collect()}
+        for m in models
+    ]
+    assert scored[0] == scored[1]
+    named = {r[0]: r[1] for r in scored[0]}
+    assert [named[k] for k in (0, 50, 100, 160)] == ["aa", "aa", "bb", "cc"]
+
+
+def test_bucket_counts_equal_direct_counts():
+    texts = ["", "12", "Ab c", "é" * 50, "xy " * 4000]
+    whole = list(language.bucket_counts(texts))
+    for text, (buckets, counts) in zip(texts, whole):
+        (alone, times), = language.bucket_counts([text])
+        assert buckets.tolist() == alone.tolist() and counts.tolist() == times.tolist()
+        letters = [c if c.isalpha() else " " for c in f" {text.lower()}  "]
+        grams = sum(a != " " for a in letters[1:-1]) * 2 + sum(
+            a != " " or b != " " for a, b in zip(letters[:-1], letters[1:])
+        )
+        assert counts.sum() == grams
+
+
+def test_temperature_is_the_best_of_a_grid():
+    generator = np.random.default_rng(5)
+    labels = generator.integers(0, 4, 300)
+    logits = generator.standard_normal((300, 4)) + 2 * np.eye(4)[labels]
+    for scale in (0.01, 1.0, 30.0):
+        fitted = language.fitted_temperature(logits * scale, labels)
+        losses = [language.log_loss(logits * scale, labels, scale * t) for t in np.geomspace(0.1, 10, 400)]
+        assert language.log_loss(logits * scale, labels, fitted) <= min(losses) + 2e-3
+    sure = language.fitted_temperature(np.eye(4)[labels] * 9, labels)
+    assert 0.1 < sure < 10
+    assert language.fitted_temperature(np.zeros((3, 2)), np.array([0, 1, 0])) == 1.0
+
+
 def test_neighbours(spark):
     generator = np.random.default_rng(9)
     vectors = generator.standard_normal((700, 24))
@@ -322,6 +381,43 @@ def test_packing_special_tokens(spark):
             assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
 
 
+def test_ids_of_words_equal_the_tokenizers(monkeypatch):
+    pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    monkeypatch.setattr(packing, "JOINED_WORDS", 7)
+    odd = ["", " ", "É\u0301 e\u0301tude ÉTUDE", "x\u00a0y\u3000z", "\u0301a", "a\x00b \x01 c", "don't WE'LL 12ab,,",
+           "x" * 5000, "é" * 300 + " " + "é" * 300, "<|endoftext|><|startoftext|> <|EndOfText|>q",
+           "ΣΑΣ \U0001f600\U0001f600", "w1 w2 w1", "\x0bfoo\x0cbar\r\nbaz", "<|endoftext", "|>"]
+    texts = [t for k in range(20) for t in (*odd, words(200 + k, 30))]
+    raw = [t.encode() for t in texts]
+    marks = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    known = packing.WordIds(tokenizer_path())
+    for low in range(0, len(texts), 25):
+        part = np.frombuffer(b"".join(raw[low : low + 25]), np.uint8)
+        ids, bounds = known.of(part, marks[low : low + len(raw[low : low + 25]) + 1] - marks[low])
+        for k, text in enumerate(texts[low : low + 25]):
+            expected = tokenizer.encode(text, add_special_tokens=False).ids
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == expected, text
+
+
+def test_packing_in_several_cells(spark, monkeypatch):
+    pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(packing, "CELL_ROWS", 8)
+    texts = [words(300 + k, 40 * (k % 9)) for k in range(60)] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack_documents(docs, tokenizer_path(), length=512).collect()
+    assert len({r.doc_id for r in rows}) == 120
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in sequences.values():
+        ends = np.cumsum([length for _, length in sorted(own)])
+        assert [o for o, _ in sorted(own)] == [0, *ends[:-1]] and ends[-1] <= 512
+
+
 def test_pack_is_close_to_the_bound():
     lengths = np.minimum(np.random.default_rng(3).lognormal(6.5, 0.9, 6000).astype(int) + 1, 4096)
     sequence, _ = packing.pack(lengths)
