@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,20 +24,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbstar.llm.common import Scratch, passes, utf8
+from curbstar.llm.common import RollingHash, Scratch, lower_ascii, passes, utf8, word_bounds
 
 SEQUENCE, END_TOKEN = 4096, 1
 #: Pieces of a cell; groups of large pieces; sizes of the linear program are multiples of UNIT.
 CELL_ROWS, GROUPS, UNIT = 20_000, 48, 8
-#: Distinct words whose ids a task keeps, twice.
-CACHE_WORDS = 250_000
+#: Words and ids that a task keeps before it starts anew; longer words are not kept.
+CACHE_WORDS, CACHE_IDS, WORD_BYTES = 1_000_000, 8_000_000, 256
+#: Words that one call of the tokenizer takes.
+JOINED_WORDS = 512
+
+_KEYS, _CHECKS = RollingHash(101), RollingHash(103)
 
 
 class WordIds:
-    """Token ids of texts, as little-endian bytes, by way of their words.
+    """Token ids of texts by way of their words.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words one after the other. Ids of recent words are kept in two bounded generations.
+    words one after the other. Words are told apart by two 64-bit hashes and looked up all at once;
+    the ids of those met before lie one after the other in one array.
     """
 
     def __init__(self, path: str):
@@ -47,40 +51,103 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         #: Special tokens in lower case; the tokenizer finds them as they are written.
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [t.content.lower().encode() for t in added]
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.young) > CACHE_WORDS:
-            self.old, self.young = self.young, {}
-        new = set(words).difference(self.young)
-        known = {w: self.old[w] for w in new if w in self.old}
-        self.young.update(known)
-        new = [w for w in new if w not in known]
-        encoded = self.tokenizer.encode_batch(
-            [w.decode() for w in new], add_special_tokens=False
-        )
-        for word, tokens in zip(new, encoded):
-            self.young[word] = array("I", tokens.ids).tobytes()
-
-    def words(self, data: bytes, marks: list[int]) -> list[list[bytes]]:
-        """The words of each text, in lower case as the tokenizer puts them, but for those that may
-        hold a special token."""
-        small = data.lower()
-        found = [small[a:b].split() for a, b in zip(marks[:-1], marks[1:])]
-        if any(t in small for t in self.special):
-            for k, words in enumerate(found):
-                if any(t in w for t in self.special for w in words):
-                    written = data[marks[k] : marks[k + 1]].split()
-                    found[k] = [
-                        o if any(t in w for t in self.special) else w for o, w in zip(written, words)
-                    ]
-        return found
-
-    def of(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.young.__getitem__, words))
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content.lower().encode() for t in added.values()]
+        self.mark_id = min(i for i, t in added.items() if t.special)
+        self.mark = added[self.mark_id].content.encode()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has.
+
+        Many words make one call, a special token between them: nothing merges across it, and its id
+        tells where a word ends. Words that hold a special token are encoded one by one.
+        """
+        ids, counts = [], []
+        for low in range(0, len(words), JOINED_WORDS):
+            some = words[low : low + JOINED_WORDS]
+            whole = b"\n".join(some).lower()
+            if not any(t in whole for t in self.special):
+                joined = [self.mark.join(some).decode()]
+                found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+                of_all = np.array(found[0].ids + [self.mark_id], np.uint32)
+                ends = np.flatnonzero(of_all == self.mark_id)
+                ids.append(of_all[of_all != self.mark_id])
+                counts.append(np.diff(ends, prepend=-1) - 1)
+            else:
+                found = self.tokenizer.encode_batch(
+                    [w.decode() for w in some], add_special_tokens=False
+                )
+                ids.append(np.array([i for f in found for i in f.ids], np.uint32))
+                counts.append(np.array([len(f.ids) for f in found], np.int64))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _lowered(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The bytes in lower case, as the tokenizer puts them, but for words that may hold a special
+        token."""
+        small = lower_ascii(data)
+        raw = small.tobytes()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                word = int(np.searchsorted(starts, at, "right")) - 1
+                if ends[word] >= at + len(token):
+                    small[starts[word] : ends[word]] = data[starts[word] : ends[word]]
+                at = raw.find(token, max(at + 1, int(ends[word])))
+        return small
+
+    def of(self, data: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin."""
+        starts, ends, firsts = word_bounds(data, marks)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(marks), np.int64)
+        if len(self.keys) > CACHE_WORDS or len(self.ids) > CACHE_IDS:
+            self._forget()
+        data = self._lowered(data, starts, ends)
+        key = _KEYS.spans(_KEYS.sums(data), starts, ends)
+        check = _CHECKS.spans(_CHECKS.sums(data), starts, ends)
+        kind_of, kinds = pd.factorize(key)
+        first = np.zeros(len(kinds), np.int64)
+        first[kind_of[::-1]] = np.arange(len(key))[::-1]
+        # words that are too long to keep, or share one hash but not the other, stand for themselves
+        alone = np.flatnonzero((ends - starts > WORD_BYTES) | (check != check[first][kind_of]))
+
+        spot = np.minimum(np.searchsorted(self.keys, kinds), max(0, len(self.keys) - 1))
+        if len(self.keys):
+            known = (self.keys[spot] == kinds) & (self.checks[spot] == check[first])
+        else:
+            known = np.zeros(len(kinds), bool)
+        new = np.flatnonzero(~known & (ends[first] - starts[first] <= WORD_BYTES))
+        new = new[np.argsort(kinds[new])]
+        start, count = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
+        start[known], count[known] = self.starts[spot[known]], self.counts[spot[known]]
+        if len(new):
+            at = first[new]
+            words = [data[a:b].tobytes() for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            ids, count[new] = self._encode(words)
+            start[new] = len(self.ids) + np.cumsum(count[new]) - count[new]
+            self.ids = np.concatenate([self.ids, ids])
+            keys = np.concatenate([self.keys, kinds[new]])
+            order = np.argsort(keys, kind="stable")
+            self.keys = keys[order]
+            self.checks = np.concatenate([self.checks, check[at]])[order]
+            self.starts = np.concatenate([self.starts, start[new]])[order]
+            self.counts = np.concatenate([self.counts, count[new]])[order]
+
+        start, count, stock = start[kind_of], count[kind_of], self.ids
+        if len(alone):
+            words = [data[a:b].tobytes() for a, b in zip(starts[alone], ends[alone])]
+            ids, count[alone] = self._encode(words)
+            start[alone] = len(stock) + np.cumsum(count[alone]) - count[alone]
+            stock = np.concatenate([stock, ids])
+        bounds = np.concatenate([[0], np.cumsum(count)])
+        places = np.repeat(start - bounds[:-1], count) + np.arange(bounds[-1])
+        return stock[places], bounds[firsts]
 
 
 _WORD_IDS: dict[str, WordIds] = {}
@@ -94,25 +161,30 @@ def _word_ids(path: str) -> WordIds:
 
 
 def _cut(path: str, length: int):
-    end = array("I", [END_TOKEN]).tobytes()
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _word_ids(path)
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             docs = batch.column("doc_id")
             for low, high, part, marks in passes(data, offsets):
-                texts = ids.words(part.tobytes(), marks.tolist())
-                ids.learn([w for words in texts for w in words])
-                rows: list[tuple[int, int, int, int, int]] = []
-                for row, words in enumerate(texts, low):
-                    tokens = memoryview(ids.of(words) + end)
-                    for piece, start in enumerate(range(0, len(tokens) // 4, length)):
-                        of_piece = tokens[4 * start : 4 * (start + length)]
-                        rows.append((row, piece, start, len(of_piece) // 4, zlib.crc32(of_piece)))
-                columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
+                found, bounds = ids.of(part, marks)
+                # an end token after each text
+                tokens = np.insert(found, bounds[1:], END_TOKEN).astype("<u4")
+                bounds = bounds + np.arange(len(bounds))
+                pieces = -(-np.diff(bounds) // length)
+                row = np.repeat(np.arange(high - low), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * length
+                ends = np.minimum(bounds[row] + start + length, bounds[row + 1])
+                view = memoryview(tokens).cast("B")
+                sums = [
+                    zlib.crc32(view[4 * a : 4 * b])
+                    for a, b in zip((bounds[row] + start).tolist(), ends.tolist())
+                ]
+                sizes = ends - bounds[row] - start
                 yield pa.RecordBatch.from_arrays(
-                    [docs.take(columns[0]), columns[1].cast(pa.int32()), *columns[2:]],
+                    [docs.take(pa.array(row + low)), pa.array(piece, pa.int32()),
+                     pa.array(start), pa.array(sizes), pa.array(sums, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
