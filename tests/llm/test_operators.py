@@ -341,6 +341,55 @@ def test_neighbours(spark):
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_neighbours_in_several_blocks(spark, monkeypatch):
+    """Blocks of rows and queries, equal scores, one id with many vectors, repeated rows."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 20)
+    monkeypatch.setattr(neighbours, "VERIFIED", 80)
+    generator = np.random.default_rng(12)
+    centres = generator.standard_normal((60, 16))
+    vectors = centres[generator.integers(0, 60, 3000)] + 0.4 * generator.standard_normal((3000, 16))
+    ids = np.arange(3000)
+    vectors[100:180] = vectors[100]  # copies under ids of their own
+    ids[1000:1600] = 77  # an id with many vectors
+    ids[51] = 50  # a query with two vectors
+    rows = [(int(i), v.tolist()) for i, v in zip(ids, vectors)]
+    frame = spark.createDataFrame(rows + rows[:30], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(frame, F.col("vec_id") % 50 == 0).collect()
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    hits = total = 0
+    for q in sorted({int(i) for i in ids if i % 50 == 0}):
+        best = {}
+        for own in np.flatnonzero(ids == q):
+            for i, c in zip(ids.tolist(), (unit @ unit[own]).tolist()):
+                if i != q:
+                    best[i] = max(best.get(i, -2), c)
+        ranked = sorted(best, key=lambda i: (-round(best[i], 12), i))[:5]
+        got = sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in got] == [1, 2, 3, 4, 5] and len({r.vec_id for r in got}) == 5
+        assert all(abs(r.score - best[r.vec_id]) < 1e-12 for r in got)
+        hits, total = hits + len(set(ranked) & {r.vec_id for r in got}), total + 5
+        if q == 100:
+            assert [r.vec_id for r in got] == [101, 102, 103, 104, 105]
+    assert hits >= 0.9 * total
+
+
+def test_windows_count_what_they_hold():
+    generator = np.random.default_rng(13)
+    rows = generator.standard_normal((300, 8))
+    block = neighbours.Block(np.arange(300), rows)
+    centres = rows[:4] / np.linalg.norm(rows[:4], axis=1)[:, None] @ block.directions
+    (low, high), (wide_low, wide_high) = block.edges(centres, 0), block.edges(centres, 3)
+    spots = rows / np.linalg.norm(rows, axis=1)[:, None] @ block.directions
+    for q in range(4):
+        first = block.met(low[q].tolist(), high[q].tolist())
+        sides = block.met(np.stack([wide_low[q], high[q]], 1).ravel().tolist(),
+                          np.stack([low[q], wide_high[q]], 1).ravel().tolist())
+        for step, counts in ((0, first), (3, first + sides)):
+            reach = neighbours.FIRST_WIDTH * neighbours.WIDEN**step * block.spread
+            assert counts.tolist() == (np.abs(spots - centres[q]) <= reach).sum(axis=1).tolist()
+
+
 def test_packing(docs, empty):
     pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
