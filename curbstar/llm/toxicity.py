@@ -268,5 +268,7 @@ def with_scores(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with all columns."""
-    scored = with_scores(docs, fit(docs, labels), docs.columns)
-    return scored.where(F.col("_score") < THRESHOLD).select(*docs.columns)
+    # the row as one column, so that no name of the table can clash
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    scored = with_scores(rows, fit(docs, labels), ["row"])
+    return scored.where(F.col("_score") < THRESHOLD).select("row.*")
