@@ -32,8 +32,9 @@ WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
 SHARD_ROWS = 20_000
 #: Newton's steps end when every source is this near its target, relatively.
 NEAR, MOST_STEPS = 1e-9, 80
-#: Rounds that make up for rounding, and documents of one size that a round may change.
-MENDS, MEND_UNITS = 8, 64
+#: Rounds at most that make up for rounding (they end when no source gets nearer), and documents of one
+#: size that a round may change.
+MENDS, MEND_UNITS = 32, 64
 #: Rates count in whole numbers of this part.
 UNIT = 1 << 30
 #: Copies of repeated rows that one task writes.
@@ -238,6 +239,8 @@ def _mended(rounded: DataFrame, scratch: Scratch, most: int) -> DataFrame:
             ),
         )
         rounds.append(state)
+        if state.isEmpty():
+            break
     picks = rounds[0]
     for more in rounds[1:]:
         picks = picks.unionByName(more)
