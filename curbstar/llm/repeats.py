@@ -405,6 +405,20 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def passages(spans: list[dict], least: int) -> list[tuple[int, int]]:
+    """Sorted repeated strings at full length: windows that follow each other byte by byte are one.
+
+    Two strings that only touch, or overlap by less than a window but one byte, stay two.
+    """
+    out: list[tuple[int, int]] = []
+    for start, end in sorted((s["start"], s["end"]) for s in spans or ()):
+        if out and start + least <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def with_spans(docs: DataFrame, least: int) -> DataFrame:
     """``row`` (all columns) and ``spans``: its repeated stretches, null for none."""
     spans = (
@@ -454,7 +468,8 @@ def removed_digest(docs: DataFrame, least: int = 400) -> DataFrame:
 def without_repeats(docs: DataFrame, least: int = 200, least_words: int = 50) -> DataFrame:
     """The documents without repeated passages of ``least_words`` words or more; all rows stay.
 
-    Passages are found as strings of ``least`` bytes; a removed stretch covers whole characters.
+    Passages are found as strings of ``least`` bytes, and words are counted in each by itself: short ones
+    that touch are not added up. A removed stretch covers whole characters.
     """
 
     names, place = docs.columns, docs.columns.index("text")
@@ -466,10 +481,14 @@ def without_repeats(docs: DataFrame, least: int = 200, least_words: int = 50) ->
             for text, found in zip(rows.field(place).to_pylist(), spans):
                 if found:
                     raw, kept, at = text.encode(), [], 0
-                    for start, end in merged(found):
-                        if len(raw[start:end].split()) >= least_words:
-                            kept.append(raw[at:start])
-                            at = end
+                    long = [
+                        {"start": start, "end": end}
+                        for start, end in passages(found, least)
+                        if len(raw[start:end].split()) >= least_words
+                    ]
+                    for start, end in merged(long):
+                        kept.append(raw[at:start])
+                        at = end
                     kept.append(raw[at:])
                     text = b"".join(p.decode(errors="ignore").encode() for p in kept).decode()
                 texts.append(text)

@@ -2,8 +2,9 @@
 
 A word is the bag of its character n-grams (of 3 to 8 bytes, with its edges) and itself, hashed into one
 embedding table, so an unseen misspelling shares vectors with the words it resembles. Words are
-averaged over windows of a few words, each window goes through a linear softmax, and a text is as
-toxic as its worst window. Embeddings and softmax are trained jointly in numpy, on the driver, on a
+averaged over windows of a few words, each window goes through a linear softmax, and a text's margin is
+the mean of its windows' margins, each weighed by the exponential of itself, so that toxic windows count
+most; the longer the clean rest, the more of them it takes. Embeddings and softmax are trained jointly in numpy, on the driver, on a
 bounded sample of labelled texts. Scoring needs one number per bucket (the embedding times the
 difference of the softmax's columns) and runs over whole texts in the tasks.
 
