@@ -41,6 +41,20 @@ def safe_cast(c: Column | str, to: str) -> Column:
     return c.try_cast(to)
 
 
+def safe_cast_sql(text: str, to: str) -> str:
+    """``safe_cast`` as SQL text, for views."""
+    if to in ("timestamp", "timestamp_ntz"):
+        zoned = f"unix_micros(try_cast({text} AS timestamp))"
+        return (
+            f"CASE WHEN {text} RLIKE r'{_LOCAL_TIME}' THEN try_cast({text} AS timestamp_ntz) "
+            f"WHEN {text} RLIKE r'{_DATE_LIKE}' "
+            f"THEN timestampadd(MICROSECOND, {zoned}, timestamp_ntz'1970-01-01 00:00:00') END"
+        )
+    if to in ("double", "float"):
+        return f"CASE WHEN NOT {text} RLIKE r'{_FLOAT_SUFFIX}' THEN try_cast({text} AS {to}) END"
+    return f"try_cast({text} AS {to})"
+
+
 def strict_cast(c: Column | str, to: str) -> Column:
     """Cast that fails the job on malformed text, whatever the session's ANSI setting is."""
     c = _column(c)

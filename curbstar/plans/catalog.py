@@ -505,6 +505,18 @@ def scan_model(plan: Callable[..., Plan], source: str, name: str) -> Query:
     return query
 
 
+def view_of_staging(source: str, name: str) -> Query:
+    """A staging model as a catalog view over the extract's files."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        store = Store.scratch(spark)
+        feed = enforcement_plan(spark, sf).sources[source]
+        store.table("raw", source, feed)
+        return enforcement.publish_staging(store, {source: f"parquet.`{store.path('raw', source)}`"})[name]
+
+    return query
+
+
 def published(spark: SparkSession, sf: str, summarize: bool = False) -> enforcement.Enforcement:
     """A plan that has built and published a warehouse."""
     plan = enforcement_plan(spark, sf)
@@ -650,6 +662,8 @@ QUERIES: dict[str, Query] = {
     ),
     "scan_stg_311": scan_model(enforcement_plan, "source_nyc_311_traffic", "stg_311"),
     "scan_stg_ace": scan_model(enforcement_plan, "source_mta_ace_violations", "stg_ace"),
+    "view_stg_311": view_of_staging("source_nyc_311_traffic", "stg_311"),
+    "view_stg_ace": view_of_staging("source_mta_ace_violations", "stg_ace"),
     "scan_stg_nyc_311_dot": scan_model(
         applications_plan, "source_dot_service_requests_history", "stg_nyc_311_dot"
     ),

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from curbstar import fixed_values as fv
 from curbstar.functions import calendar as cal
-from curbstar.functions.clean import classify_prefix
-from curbstar.operators.dedup import dedup_latest
 from curbstar.operators.dims import (
     conformed_dim,
     distinct_dim,
@@ -26,7 +24,6 @@ from curbstar.operators.lookup import (
     natural,
     star_lookups,
 )
-from curbstar.operators.project import require, safe_project
 from curbstar.operators.quality import Accepted, NotNull, Related, Unique
 from curbstar.operators.reports import (
     Series,
@@ -36,6 +33,7 @@ from curbstar.operators.reports import (
     summarize,
     total,
 )
+from curbstar.operators.views import Sql, Staging, classify_prefix_sql
 from curbstar.plans.base import Plan
 from curbstar.sources.store import Store
 
@@ -56,43 +54,39 @@ VIOLATION_KEYS = {
 }
 
 
-def stg_311(raw: DataFrame) -> DataFrame:
-    """Typed, curb-related complaints, the latest version of each.
+_COMPLAINT_TEXTS = {
+    "agency": "agency",
+    "complaint_type": "complaint_type",
+    "problem_detail": "descriptor",
+    "status": "status",
+    "borough": Sql("upper(borough)"),
+    "zip_code": "incident_zip",
+    "neighborhood": "community_board",
+}
 
-    Only what decides between versions is cast before the shuffle, the rest on the kept rows.
-    """
-    texts = {
-        "agency": "agency",
-        "complaint_type": "complaint_type",
-        "problem_detail": "descriptor",
-        "status": "status",
-        "borough": F.upper("borough"),
-        "zip_code": "incident_zip",
-        "neighborhood": "community_board",
-    }
-    versions = safe_project(
-        raw,
-        {
+
+_VIOLATION_TEXTS = ["violation_category", "violation_status", "bus_route_id", "stop_id", "stop_name"]
+_COORDINATES = ["violation_latitude", "violation_longitude", "bus_stop_latitude", "bus_stop_longitude"]
+
+
+def complaint_staging() -> Staging:
+    """Curb-related complaints."""
+    return Staging(
+        versions={
             "complaint_id": ("unique_key", "bigint"),
             "created_at": ("created_date", "timestamp"),
             "closed_at": ("closed_date", "timestamp"),
-            **texts,
+            **_COMPLAINT_TEXTS,
             "council_district": "council_district",
             "latitude": "latitude",
             "longitude": "longitude",
         },
-    )
-    valid = require(
-        versions,
-        ["complaint_id", "created_at", "borough"],
-        {"complaint_type": fv.CURB_COMPLAINT_TYPES},
-    )
-    tiebreak = [c for c in valid.columns if c != "complaint_id"]
-    latest = dedup_latest(valid, ["complaint_id"], F.coalesce("closed_at", "created_at"), tiebreak)
-    return safe_project(
-        latest,
-        {
-            **{c: c for c in ("complaint_id", "created_at", "closed_at", *texts)},
+        required=["complaint_id", "created_at", "borough"],
+        allowed={"complaint_type": fv.CURB_COMPLAINT_TYPES},
+        key="complaint_id",
+        latest="coalesce(closed_at, created_at)",
+        columns={
+            **{c: c for c in ("complaint_id", "created_at", "closed_at", *_COMPLAINT_TEXTS)},
             "council_district": ("council_district", "bigint"),
             "latitude": ("latitude", "double"),
             "longitude": ("longitude", "double"),
@@ -100,46 +94,61 @@ def stg_311(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_ace(raw: DataFrame) -> DataFrame:
-    """Typed camera violations with a borough read off the route, the latest version of each.
-
-    Only what decides between versions is cast before the shuffle, the rest on the kept rows.
-    """
-    kept = ["violation_category", "violation_status", "bus_route_id", "stop_id", "stop_name"]
-    coordinates = [
-        "violation_latitude",
-        "violation_longitude",
-        "bus_stop_latitude",
-        "bus_stop_longitude",
-    ]
-    versions = safe_project(
-        raw.withColumnRenamed("violation_type", "violation_category"),
-        {
+def violation_staging() -> Staging:
+    """Camera violations, with a borough read off the route."""
+    return Staging(
+        versions={
             "violation_id": "violation_id",
             "first_occurrence": ("first_occurrence", "timestamp"),
             "last_occurrence": ("last_occurrence", "timestamp"),
-            **{c: c for c in (*kept, *coordinates)},
+            "violation_category": "violation_type",
+            **{c: c for c in (*_VIOLATION_TEXTS[1:], *_COORDINATES)},
         },
-    )
-    valid = require(versions, ["violation_id", "first_occurrence", "bus_route_id"])
-    tiebreak = [c for c in valid.columns if c != "violation_id"]
-    latest = dedup_latest(
-        valid, ["violation_id"], F.coalesce("last_occurrence", "first_occurrence"), tiebreak
-    )
-    borough = classify_prefix("bus_route_id", fv.ROUTE_PREFIX_BOROUGHS, fv.UNKNOWN_ROUTE_BOROUGH)
-    return safe_project(
-        latest,
-        {
-            **{c: c for c in ("violation_id", "first_occurrence", "last_occurrence", *kept)},
-            **{c: (c, "double") for c in coordinates},
-            "borough": borough,
-            "zip_code": F.lit(None).cast("string"),
-            "neighborhood": F.lit(None).cast("string"),
-            "council_district": F.lit(None).cast("bigint"),
+        required=["violation_id", "first_occurrence", "bus_route_id"],
+        key="violation_id",
+        latest="coalesce(last_occurrence, first_occurrence)",
+        columns={
+            **{c: c for c in ("violation_id", "first_occurrence", "last_occurrence", *_VIOLATION_TEXTS)},
+            **{c: (c, "double") for c in _COORDINATES},
+            "borough": Sql(
+                classify_prefix_sql("bus_route_id", fv.ROUTE_PREFIX_BOROUGHS, fv.UNKNOWN_ROUTE_BOROUGH)
+            ),
+            "zip_code": Sql("CAST(NULL AS string)"),
+            "neighborhood": Sql("CAST(NULL AS string)"),
+            "council_district": Sql("CAST(NULL AS bigint)"),
         },
     )
 
 
+def stg_311(raw: DataFrame) -> DataFrame:
+    """Typed, curb-related complaints, the latest version of each."""
+    return complaint_staging().plan(raw)
+
+
+def stg_ace(raw: DataFrame) -> DataFrame:
+    """Typed camera violations with a borough read off the route, the latest version of each."""
+    return violation_staging().plan(raw)
+
+
+# Staging tables: the raw extract and what is made of it.
+STAGING = {
+    "stg_311": ("source_nyc_311_traffic", complaint_staging),
+    "stg_ace": ("source_mta_ace_violations", violation_staging),
+}
+
+
+def publish_staging(store: Store, sources: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The staging layer as catalog views, over raw extracts that are named as in SQL.
+
+    Nothing is computed, and any session that shares the catalog reads the views.
+    """
+    return {
+        name: store.persistent_view("staging", name, staging().sql(sources[source]))
+        for name, (source, staging) in STAGING.items()
+        if source in sources
+    }
+
+
 def dim_location(complaints: DataFrame, violations: DataFrame, store: Store) -> DataFrame:
     places = conformed_dim([complaints.select(*LOCATION), violations.select(*LOCATION)])
     return sequence_key(places, LOCATION, "location_key", store)

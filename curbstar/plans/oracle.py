@@ -902,6 +902,7 @@ for _name, _columns in _DECIMALS.items():
 # Files with a further column: the typed models leave it out, the others pass it through.
 for _name in ("stg_311", "stg_ace"):
     SQL[f"scan_{_name}"] = SQL[f"model_{_name}"]
+    SQL[f"view_{_name}"] = SQL[f"model_{_name}"]
 for _name in ("stg_nyc_311_dot", "stg_nyc_open_restaurant_apps"):
     SQL[f"scan_{_name}"] = f"SELECT *, 'kept' AS undeclared FROM ({SQL[f'model_{_name}']})"
 # Reports over marts written before.

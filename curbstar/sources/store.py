@@ -94,6 +94,21 @@ class Store:
         return df
 
 
+    def persistent_view(self, layer: str, name: str, sql: str) -> DataFrame:
+        """Keep ``sql`` as a view in the catalog, for every session that shares it.
+
+        It reads what its sources hold when it is read. A store with a folder gives the view a name of
+        its own, so that none of the user's is replaced.
+        """
+        if self.catalog:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            view = f"{layer}.{name}"
+        else:
+            view = f"{layer}_{name}_{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS {sql}")
+        return self.spark.table(view)
+
+
 class Warehouse(Store):
     """Tables that stay readable while they are rebuilt.
 
