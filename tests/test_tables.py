@@ -19,6 +19,7 @@ from curbstar.operators.lookup import (
     build_fact,
     lookup_columns,
     lookup_fk,
+    lookup_role,
     measured_bytes,
     natural,
 )
@@ -162,3 +163,21 @@ def test_build_fact(star):
     built = build_fact(fact, lookups, ["id", "tolerant", "strict"])
     assert sorted(tuple(r) for r in built.collect())[0] == (1, 10, None)
     assert build_fact(fact, [], ["id"]).count() == 5
+
+
+def test_roles_share_one_broadcast(spark, store):
+    days = spark.sql(
+        "SELECT d AS full_date, int(date_format(d, 'yyyyMMdd')) AS date_key "
+        "FROM (SELECT explode(sequence(date'2024-01-01', date'2024-01-31')) AS d)"
+    )
+    dim = store.table("marts", "days", days)
+    fact = spark.sql(
+        "SELECT * FROM VALUES (1, timestamp_ntz'2024-01-02 10:00:00', timestamp_ntz'2024-01-05 00:00:00', null), "
+        "(2, timestamp_ntz'2023-12-31 23:59:59', null, timestamp_ntz'2024-01-31 23:00:00') AS t(id, a, b, c)"
+    )
+    found = lookup_role(store.table("marts", "fact", fact), dim, {"a": "a_key", "b": "b_key", "c": "c_key"})
+    rows = {r.id: (r.a_key, r.b_key, r.c_key) for r in found.collect()}
+    assert rows == {1: (20240102, 20240105, None), 2: (None, None, 20240131)}
+    final = plan_text(found).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 2 and final.count("BroadcastQueryStage") == 3
+    assert final.count("+- BroadcastExchange") == 1
