@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from curbstar.plans import raw_feeds
 from curbstar.sources import readers
+from curbstar.sources.schemas import RAW_TABLES
 
 ROWS = 400
 DAY = "timestamp_ntz'1999-03-01 00:00:00' + make_dt_interval(cast(id % 300 as int))"
@@ -58,6 +59,19 @@ def test_an_extract_is_derived_in_tasks_of_bounded_size(spark, tables, monkeypat
     assert same_rows(usual, spread)
 
 
+def test_a_scanned_extract_is_dealt_to_tasks_of_bounded_size(spark, raw, tmp_path, monkeypatch):
+    name = "source_dot_service_requests_history"
+    rows = [{"unique_key": str(i) if i % 2 else None, "agency": "DOT"} for i in range(ROWS)]
+    raw(name, rows).withColumn("further", F.col("unique_key")).coalesce(1).write.parquet(f"{tmp_path}/raw")
+    usual = readers.read_raw(spark, name, f"{tmp_path}/raw")
+    monkeypatch.setattr(readers, "TASK_BYTES", 20 * readers.CELL_BYTES * (len(RAW_TABLES[name]) + 1))
+    spread = readers.read_raw(spark, name, f"{tmp_path}/raw")
+    assert usual.rdd.getNumPartitions() == 1
+    assert spread.rdd.getNumPartitions() == ROWS // 20
+    assert spread.columns == usual.columns
+    assert same_rows(usual, spread)
+
+
 def test_tasks_grow_with_the_rows():
     per_task = readers.TASK_BYTES // (32 * readers.CELL_BYTES)
     assert [readers.text_tasks(n, 32) for n in (0, 1, per_task, per_task + 1)] == [1, 1, 1, 2]
