@@ -1,9 +1,9 @@
-"""Extract rows are dealt to tasks by the memory they take."""
+"""Extract rows are dealt to tasks by the memory they take, and staged once in each build."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from curbstar.plans import raw_feeds
+from curbstar.plans import catalog, enforcement, raw_feeds
 from curbstar.sources import readers
 from curbstar.sources.schemas import RAW_TABLES
 
@@ -77,3 +77,13 @@ def test_tasks_grow_with_the_rows():
     assert [readers.text_tasks(n, 32) for n in (0, 1, per_task, per_task + 1)] == [1, 1, 1, 2]
     for rows in (10**6, 10**8, 10**10):
         assert rows * 32 * readers.CELL_BYTES / readers.text_tasks(rows, 32) <= 4.1 * readers.TASK_BYTES
+
+
+def test_a_broken_build_has_staged_each_extract_once(spark, tables, monkeypatch):
+    staged = []
+    for name in ("stg_311", "stg_ace"):
+        plain = getattr(enforcement, name)
+        monkeypatch.setattr(enforcement, name, lambda raw, name=name, plain=plain: staged.append(name) or plain(raw))
+    catalog.report_beside_broken_build(spark, tables).collect()
+    # by the published build and by the later one
+    assert sorted(staged) == ["stg_311"] * 2 + ["stg_ace"] * 2
