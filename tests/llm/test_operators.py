@@ -91,6 +91,30 @@ def test_repeats(docs, empty, monkeypatch, group):
     assert repeats.removed_digest(empty).count() == 0
 
 
+def test_repeats_return_what_is_left(spark, tmp_path):
+    """The passage is missing from the query's texts, and spans and bytes agree with its digest."""
+    base, passage = words(11, 100), words(12, 90)
+    # é and ĩ end in the same byte, so the repeated string begins inside a character
+    tail = words(15, 100)
+    texts = [base + "\n" + passage, passage + "\n" + words(13, 60), words(14, 90), None, "", "é" + tail,
+             "ĩ" + tail, "x" * 450 + "end"]
+    rows = [(k, t, "en", "a", 0, "x") for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in QUERIES["op2_suffix_dedup"](spark, str(tmp_path)).collect()}
+    spans = {r.doc_id: r for r in repeats.cut_repeats(spark.createDataFrame(rows, DOCS)).collect()}
+    for k, gone in enumerate(brute_removed(texts, 400)):
+        raw = np.frombuffer((texts[k] or "").encode(), np.uint8)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
+        kept = raw[~gone].tobytes()
+        assert [tuple(s) for s in spans[k].spans] == list(map(tuple, edges.reshape(-1, 2)))
+        assert bytes(spans[k].kept) == kept
+        assert found[k].text == kept.decode(errors="replace")
+        assert found[k].n_removed == len(raw) - len(kept) and found[k].n_bytes == len(raw)
+        assert found[k].kept_sha256 == hashlib.sha256(kept).hexdigest()
+    assert base in found[0].text and not any(passage in r.text for r in found.values())
+    assert found[3].text == "" and found[5].text == "\ufffd"
+
+
 def test_cut_passages_keep_rows_and_characters(docs):
     rows = {r.doc_id: r.text for r in repeats.without_repeats(docs).collect()}
     assert rows[8] == " " + words(3, 80) or len(rows[8]) < len(words(3, 80)) + 12
